@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..cluster import cut, ship
-from . import bpe, lookalikes, mixing
+from . import bpe, codepages, langid, lookalikes, mixing
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,6 +15,30 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def p1_labels(spark, sf_dir):
+    """(uid, label, seg_no, lang, confidence) of every source text (seg_no 0) and of its lines in another language."""
+    t = _table(spark, sf_dir, "sample_5")
+    return langid.languages(t, langid.identifier(t))
+
+
+def p1_found(spark, sf_dir):
+    """(uid, seg_no, lang_found): labels that are missing or name another language, and lines of another language."""
+    found = p1_labels(spark, sf_dir)
+    code = langid.label_code(F.col("label"))
+    return found.where((F.col("seg_no") > 0) | code.isNull() | (code != F.col("lang"))).select("uid", "seg_no", F.col("lang").alias("lang_found"))
+
+
+def p3_found(spark, sf_dir):
+    """(uid, field): values that show characters of a wrong decoding."""
+    return p3_restored(spark, sf_dir).select("uid", "field")
+
+
+def p3_restored(spark, sf_dir):
+    """(uid, source, field, swap, gain, restored, lost): the affected values and their text as it was, where that is possible."""
+    t = _table(spark, sf_dir, "sample_5")
+    return codepages.garbled(t, codepages.fit_on(t))
+
+
 def p8_ids(spark, sf_dir):
     """(doc_id, ids) of every document; [] for null and empty texts."""
     return bpe.token_ids(_table(spark, sf_dir, "documents"), ["doc_id"])
