@@ -56,7 +56,7 @@ def code_of(label: str | None) -> str | None:
 
 
 @lru_cache(1)
-def _letters() -> np.ndarray:
+def letters() -> np.ndarray:
     return np.array([unicodedata.category(chr(c))[0] in "LM" for c in range(0x20000)], np.bool_)
 
 
@@ -75,7 +75,7 @@ def grams(lines: list[str]) -> np.ndarray:
         return np.zeros((n, DIMS), np.float32)
     nl = cps == 10
     row = np.cumsum(nl) - nl
-    cps = np.where(_letters()[np.minimum(cps, 0x1FFFF)] | nl, cps, np.uint32(32))
+    cps = np.where(letters()[np.minimum(cps, 0x1FFFF)] | nl, cps, np.uint32(32))
     keep = np.concatenate([[True], ~((cps[1:] == 32) & ((cps[:-1] == 32) | nl[:-1]))])
     cps, row, nl = cps[keep], row[keep], nl[keep]
     h1 = cps * np.uint32(0x9E3779B1)
@@ -191,7 +191,7 @@ class Identifier:
         inner = ~(nl[:-1] | nl[1:])
         mean = np.bincount(row[:-1][inner], pairs[inner], n) / np.maximum(count(np.concatenate([inner, [False]])), 1)
         han = (cps >= 0x3400) & (cps < 0xA000)  # an ideograph stands for about three letters
-        return count(_letters()[np.minimum(cps, 0x1FFFF)]) + 2 * count(han), count((cps > 32) & (cps != 0x3000)), mean
+        return count(letters()[np.minimum(cps, 0x1FFFF)]) + 2 * count(han), count((cps > 32) & (cps != 0x3000)), mean
 
     def texts(self, texts: list[str]) -> list[list[tuple[int, str, float]]]:
         """Per text: (0, main language, confidence) and (line number, language, confidence) of each line of another language; [] without a readable language.
@@ -217,8 +217,8 @@ class Identifier:
         top = cos.max(axis=1) if len(lines) else np.zeros(0)
         second = np.partition(cos, -2, axis=1)[:, -2] if len(lines) else top
         conf = (top - second) / (top + 1e-9)
-        letters, shown, sense = self._figures(lines)
-        good = (top >= least) & (letters >= 0.35 * shown) & (sense > SENSE)
+        n_letters, shown, sense = self._figures(lines)
+        good = (top >= least) & (n_letters >= 0.35 * shown) & (sense > SENSE)
         good &= np.array([readable_share(s) > 0.3 for s in lines], np.bool_)
         for i, js in enumerate(per):
             ok = [j for j in js if good[j]]
@@ -236,7 +236,7 @@ class Identifier:
                 lead = (cos[j, best[j]] - cos[j, main]) / (cos[j, best[j]] + 1e-9)
                 # a line in its own right: a closed sentence, or long enough to be one
                 whole = lines[j].rstrip("\"'”»“）)」』").endswith((".", "!", "?", "。", "！", "？", "…"))
-                if lead >= LEAD and letters[j] >= 12 and (whole or (letters[j] >= 40 and not _CELLS.search(lines[j]))):
+                if lead >= LEAD and n_letters[j] >= 12 and (whole or (n_letters[j] >= 40 and not _CELLS.search(lines[j]))):
                     out[i].append((number[j], LANGUAGES[best[j]], float(lead)))
         return out
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..cluster import cut, ship
-from . import bpe, codepages, langid, lookalikes, mixing
+from . import bpe, codepages, langid, lookalikes, mixing, pages, quality, residue
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -39,6 +39,50 @@ def p3_restored(spark, sf_dir):
     return codepages.garbled(t, codepages.fit_on(t))
 
 
+def _named_figures(t: DataFrame, decoder, lines, rewrites: bool) -> DataFrame:
+    sample = codepages.sample_rows(t, ["_source_text"])["_source_text"].to_pylist()
+    fig = quality.Figures(decoder, lines, quality.common_words(sample))
+    figs = cut(quality.figures(t, fig, rewrites))
+    return quality.named(figs, quality.fit_mixture(figs, fig))
+
+
+def p4_figures(spark, sf_dir):
+    """(uid, field, the figures, kind, posterior) of every source text and rewrite."""
+    t = _table(spark, sf_dir, "sample_5")
+    decoder = codepages.fit_on(t)
+    return _named_figures(t, decoder, pages.line_model(t, decoder), True)
+
+
+def p4_found(spark, sf_dir):
+    """(uid, field, kind): values that are a list, a table or junk; template residue and wrongly decoded prose are none."""
+    t = _table(spark, sf_dir, "sample_5")
+    decoder = codepages.fit_on(t)
+    found = _named_figures(t, decoder, pages.line_model(t, decoder), True).where("kind <> 'prose' and not (kind = 'junk' and restored > 0)")
+    left = residue.residues(t.where("style = 'multi_style'"), residue.residue_model(t, decoder), decoder).select("uid", F.lit("content").alias("field"))
+    return found.select("uid", "field", "kind").join(left, ["uid", "field"], "left_anti")
+
+
+def p5_found(spark, sf_dir):
+    """(uid, line_no): lines of page furniture in source texts that are prose."""
+    t = _table(spark, sf_dir, "sample_5")
+    decoder = codepages.fit_on(t)
+    lines = pages.line_model(t, decoder)
+    other = _named_figures(t, decoder, lines, False).where("kind <> 'prose'").select("uid")
+    return pages.furniture(t, lines).join(other, "uid", "left_anti")
+
+
+def p5_main_text(spark, sf_dir):
+    """(uid, main_text, dropped_lines) of every source text."""
+    return pages.main_text(_table(spark, sf_dir, "sample_5"), p5_found(spark, sf_dir))
+
+
+def p6_found(spark, sf_dir):
+    """(uid, kind): records whose content is or holds template residue, filler, an error page or a script notice."""
+    t = _table(spark, sf_dir, "sample_5")
+    decoder = codepages.fit_on(t)
+    return residue.residues(t, residue.residue_model(t, decoder), decoder)
+
+
 def p8_ids(spark, sf_dir):
     """(doc_id, ids) of every document; [] for null and empty texts."""
     return bpe.token_ids(_table(spark, sf_dir, "documents"), ["doc_id"])
