@@ -130,13 +130,17 @@ class _OneByte:
 
     def __init__(self, true: str, shown: str):
         self.name = f"{true} as {shown}"
+        self.cyrillic = "Я" in _shown(true)
         t, s = _shown(true), _shown(shown)
         self.table = {ord(s[b]): t[b] for b in range(255, 0x7F, -1)}
         if shown == "cp1252":
             self.table |= {b: t[b] for b in range(0x80, 0xA0)}
 
     def __call__(self, s: str) -> str:
-        return s.translate(self.table) if len(s) - len(s.encode("ascii", "ignore")) >= LEAST_LETTERS else s
+        high = len(s) - len(s.encode("ascii", "ignore"))
+        # a Cyrillic text is mostly above ASCII, a Latin one hardly
+        fits = 5 * high >= 2 * (len(s) - s.count(" ")) if self.cyrillic else 4 * high <= len(s)
+        return s.translate(self.table) if high >= LEAST_LETTERS and fits else s
 
 
 @lru_cache(1)
@@ -178,6 +182,16 @@ class Bigrams:
             s[unseen] = self.before[a[unseen]].astype(np.float32) + self.after[b[unseen]]
         return s, unseen
 
+    def of_pairs(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        s = self.table[_slots(a, b)].astype(np.float32)
+        new = np.isnan(s)
+        if new.any():
+            s[new] = self.before[a[new]].astype(np.float32) + self.after[b[new]]
+        return s
+
+    def unseen(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        return np.isnan(self.table[_slots(a, b)])
+
     def total(self, s: str) -> float:
         cps = np.frombuffer(("\n" + s + "\n").encode("utf-32-le"), np.uint32)
         return float(self.scores(cps)[0].sum())
@@ -188,19 +202,25 @@ def suspicious(lm: Bigrams, cps: np.ndarray) -> np.ndarray:
 
     3: U+FFFD, a very rare character, or an unseen pair of two characters above ASCII; 1: an unseen pair of
     Cyrillic letters or of ideographs of which one is rare (names make such pairs now and then); 0: any other."""
-    _, unseen = lm.scores(cps)
-    c = np.minimum(cps, TOP - 1)
-    a, b = c[:-1], c[1:]
-    rare = lm.after[c] < -14
-    han = (c >= 0x3400) & (c < 0xA000)
-    cyr = (c >= 0x400) & (c < 0x460)
-    both = (a > 127) & (b > 127) & unseen
-    w = np.where(both, 3, 0)
-    hh, cc = han[:-1] & han[1:], cyr[:-1] & cyr[1:]
-    w[both & cc] = 1
-    w[both & hh] = np.where(rare[1:] | rare[:-1], 1, 0)[both & hh]
-    w[both & (han[:-1] ^ han[1:])] = 1
-    w[(rare[1:] & (b > 127) & ~han[1:] & unseen) | (b == 0xFFFD)] = 3
+    w = np.zeros(max(len(cps) - 1, 0), np.int64)
+    at = np.flatnonzero(cps[1:] > 127)  # only these can weigh anything
+    if not len(at):
+        return w
+    a, b = np.minimum(cps[at], TOP - 1), np.minimum(cps[at + 1], TOP - 1)
+    unseen = lm.unseen(a, b)
+    rare = lambda c: lm.after[c] < -14
+    han = lambda c: (c >= 0x3400) & (c < 0xA000)
+    cyr = lambda c: (c >= 0x400) & (c < 0x460)
+    on = np.flatnonzero(unseen | (b == 0xFFFD))
+    at, a, b = at[on], a[on], b[on]
+    ha, hb = han(a), han(b)
+    both = a > 127
+    v = np.where(both, 3, 0)
+    v[both & cyr(a) & cyr(b)] = 1
+    v[both & ha & hb] = np.where(rare(a) | rare(b), 1, 0)[both & ha & hb]
+    v[both & (ha ^ hb)] = 1
+    v[(rare(b) & ~hb) | (b == 0xFFFD)] = 3
+    w[at] = v
     return w
 
 
@@ -254,6 +274,13 @@ class Decoder:
             return s
         return "\n".join(self.line(x)[0] for x in s.split("\n"))
 
+    def texts(self, values: list[str | None]) -> list[str]:
+        """text() of many values, looking line by line only into those that hold something suspicious; null gives ''."""
+        out = [v or "" for v in values]
+        for i in np.flatnonzero(self.suspicious_rows(pa.array(out, pa.string()))):
+            out[i] = self.text(out[i])
+        return out
+
     def suspicious_rows(self, col) -> np.ndarray:
         """Rows of an Arrow column that hold a suspicious pair, found for the whole batch at once."""
         cps, offs = code_points(col)

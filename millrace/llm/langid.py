@@ -70,7 +70,7 @@ def label_code(label: Column) -> Column:
 def grams(lines: list[str]) -> np.ndarray:
     """lines x DIMS: counts of the hashed 1- to 3-grams of the letters of each line, case folded; a run of other signs is one blank."""
     n = len(lines)
-    cps = np.frombuffer("\n".join(lines).lower().encode("utf-32-le"), np.uint32)
+    cps = np.frombuffer("\n".join([x.replace("\n", " ") for x in lines]).lower().encode("utf-32-le"), np.uint32)
     if not len(cps):
         return np.zeros((n, DIMS), np.float32)
     nl = cps == 10
@@ -182,7 +182,7 @@ class Identifier:
         """Per line: letters (an ideograph counts for three), characters but blanks, mean log-probability of its character pairs."""
         if not lines:
             return (np.zeros(0),) * 3
-        cps = np.frombuffer("\n".join(lines).encode("utf-32-le"), np.uint32)
+        cps = np.frombuffer("\n".join([x.replace("\n", " ") for x in lines]).encode("utf-32-le"), np.uint32)
         nl = cps == 10
         row = np.cumsum(nl) - nl
         n = len(lines)
@@ -198,8 +198,7 @@ class Identifier:
 
         The confidence is the lead of the best language over the second, as a share of its cosine, for the text the mean over its lines."""
         lines, owner, number = [], [], []
-        for i, t in enumerate(texts):
-            fixed = self.decoder.text(t)
+        for i, fixed in enumerate(self.decoder.texts(texts)):
             for n, s in enumerate(fixed.split("\n"), 1):
                 s = s.strip()
                 if s:

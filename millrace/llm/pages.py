@@ -33,11 +33,10 @@ MARKER = re.compile(r"^\s*(?:([-*•>▪◦·–])|(\d{1,3}[.)、])|(\([a-zA-Z0-
 DIGITS = re.compile(r"\d+")
 HAN = re.compile(r"[㐀-鿿]")
 SPLIT = re.compile(r"\s*(?:[|·>/;,\t]|\s{2,})\s*")
-WORD = re.compile(r"\S+")
 
 
 def is_han(s: str) -> bool:
-    return len(HAN.findall(s)) * 3 > len(s)
+    return not s.isascii() and len(HAN.findall(s)) * 3 > len(s)
 
 
 def closed(s: str) -> bool:
@@ -47,7 +46,7 @@ def closed(s: str) -> bool:
 
 def weight(s: str) -> int:
     """Characters, an ideograph counting for three."""
-    return len(s) + 2 * len(HAN.findall(s))
+    return len(s) if s.isascii() else len(s) + 2 * len(HAN.findall(s))
 
 
 def bucket(kind: str, key: str) -> int:
@@ -56,15 +55,16 @@ def bucket(kind: str, key: str) -> int:
 
 def paths(line: str) -> list[tuple[str, int]]:
     """(node, bucket) of a line: leaf, opening and closing. Marks of lists are no part of the words."""
-    s = DIGITS.sub("0", MARKER.sub("", line, count=1).strip())
+    m = MARKER.match(line)
+    s = DIGITS.sub("0", line[m.end() :] if m else line).strip()
     out = [("leaf", bucket("leaf", s))]
     if is_han(s):
         if len(s) >= 7:
             out += [("open", bucket("open", s[:4])), ("close", bucket("close", s[-5:]))]
     else:
-        w = WORD.findall(s)
-        if len(w) >= 3:
-            out += [("open", bucket("open", " ".join(w[:2]))), ("close", bucket("close", " ".join(w[-2:])))]
+        w = s.split(None, 2)
+        if len(w) == 3:
+            out += [("open", bucket("open", f"{w[0]} {w[1]}")), ("close", bucket("close", " ".join(s.rsplit(None, 2)[1:])))]
     return out
 
 
@@ -78,14 +78,16 @@ def path_statistics(records: DataFrame, decoder: Decoder) -> DataFrame:
         seen: set[int] = set()
         total: dict[tuple[int, str], list[int]] = {}
         for b in batches(it, ["text"], 4 << 20):
+            fresh = []
             for text, rewrite in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 h = hash((text, rewrite))
-                if h in seen:
-                    continue
-                if len(seen) > 200_000:
-                    seen.clear()
-                seen.add(h)
-                lines = [x.strip() for x in decoder.text(text).split("\n")]
+                if h not in seen:
+                    if len(seen) > 200_000:
+                        seen.clear()
+                    seen.add(h)
+                    fresh.append((text, rewrite))
+            for text, (_, rewrite) in zip(decoder.texts([x for x, _ in fresh]), fresh):
+                lines = [x.strip() for x in text.split("\n")]
                 lines = [x for x in lines if x]
                 size = [weight(x) for x in lines]
                 for i, x in enumerate(lines):
@@ -122,7 +124,7 @@ def cells(line: str) -> int:
     """Cells of a table row: pieces between one kind of separator, 0 where that isn't a row."""
     s = line.strip()
     if s.count("|") >= 2:
-        return len([x for x in s.strip("|").split("|")])
+        return s.count("|") - 1
     if "\t" in line:
         return line.count("\t") + 1
     for sep in (";", ","):
@@ -230,11 +232,12 @@ def furniture(records: DataFrame, model: LineModel) -> DataFrame:
         memo: dict[str, list[int]] = {}
         for b in batches(it, ["text"], 4 << 20):
             uid, no = [], []
-            for u, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                if t not in memo:
-                    if len(memo) > 4000:
-                        memo.clear()
-                    memo[t] = model.furniture_lines(t)
+            texts = b.column(1).to_pylist()
+            if len(memo) > 4000:
+                memo.clear()
+            new = [t for t in dict.fromkeys(texts) if t not in memo]
+            memo.update((t, model.furniture_lines(t, f)) for t, f in zip(new, model.decoder.texts(new)))
+            for u, t in zip(b.column(0).to_pylist(), texts):
                 uid += [u] * len(memo[t])
                 no += memo[t]
             if uid:

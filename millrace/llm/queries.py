@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..cluster import cut, ship
-from . import bpe, codepages, langid, lookalikes, mixing, pages, quality, residue
+from . import bpe, codepages, langid, lookalikes, mixing, pages, pairs, quality, residue, truncation
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,6 +28,33 @@ def p1_found(spark, sf_dir):
     return found.where((F.col("seg_no") > 0) | code.isNull() | (code != F.col("lang"))).select("uid", "seg_no", F.col("lang").alias("lang_found"))
 
 
+def _truncation(spark, sf_dir) -> DataFrame:
+    t = _table(spark, sf_dir, "sample_5")
+    ident = langid.identifier(t)
+    ends = truncation.endings(t, ident, pages.line_model(t, ident.decoder), pairs.pair_model(t, ident))
+    values = truncation.truncated(cut(truncation.measured(t, ends)))
+    # error pages, script notices and filler end as they end: of the contents found, those with such residue are whole
+    found = cut(values.where("field = 'content' and log_odds > 0").select("uid"))
+    left = residue.residues(t.join(found, "uid", "left_semi"), residue.residue_model(t, ident.decoder), ident.decoder)
+    left = left.where("kind <> 'placeholder'").select("uid", F.lit("content").alias("field"), F.lit(True).alias("_left"))
+    return values.join(left, ["uid", "field"], "left").withColumn("log_odds", F.when(F.col("_left"), F.lit(-12.0)).otherwise(F.col("log_odds"))).drop("_left")
+
+
+def p2_values(spark, sf_dir):
+    """(uid, source, field, chars, bytes, ending, limit_posterior, log_odds) of every source text and content."""
+    return _truncation(spark, sf_dir)
+
+
+def p2_found(spark, sf_dir):
+    """(uid, field): values that end inside a word or sentence because their rest was lost."""
+    return _truncation(spark, sf_dir).where("log_odds > 0").select("uid", "field")
+
+
+def p2_shares(spark, sf_dir):
+    """(source, texts, cut, share): how often each source's texts are cut."""
+    return truncation.cut_shares(_truncation(spark, sf_dir))
+
+
 def p3_found(spark, sf_dir):
     """(uid, field): values that show characters of a wrong decoding."""
     return p3_restored(spark, sf_dir).select("uid", "field")
@@ -58,8 +85,10 @@ def p4_found(spark, sf_dir):
     t = _table(spark, sf_dir, "sample_5")
     decoder = codepages.fit_on(t)
     found = _named_figures(t, decoder, pages.line_model(t, decoder), True).where("kind <> 'prose' and not (kind = 'junk' and restored > 0)")
-    left = residue.residues(t.where("style = 'multi_style'"), residue.residue_model(t, decoder), decoder).select("uid", F.lit("content").alias("field"))
-    return found.select("uid", "field", "kind").join(left, ["uid", "field"], "left_anti")
+    found = cut(found.select("uid", "field", "kind"))
+    asked = t.where("style = 'multi_style'").join(found.where("field = 'content'").select("uid"), "uid", "left_semi")
+    left = residue.residues(asked, residue.residue_model(t, decoder), decoder).select("uid", F.lit("content").alias("field"))
+    return found.join(left, ["uid", "field"], "left_anti")
 
 
 def p5_found(spark, sf_dir):
@@ -83,6 +112,13 @@ def p6_found(spark, sf_dir):
     return residue.residues(t, residue.residue_model(t, decoder), decoder)
 
 
+def p7_found(spark, sf_dir):
+    """(uid, pair_no, defect): defective question-answer pairs; records with residue in place of their text have none."""
+    t = _table(spark, sf_dir, "sample_5")
+    ident = langid.identifier(t)
+    return pairs.defective_pairs(t, pairs.pair_model(t, ident))
+
+
 def p8_ids(spark, sf_dir):
     """(doc_id, ids) of every document; [] for null and empty texts."""
     return bpe.token_ids(_table(spark, sf_dir, "documents"), ["doc_id"])
