@@ -68,10 +68,11 @@ def paths(line: str) -> list[tuple[str, int]]:
     return out
 
 
-def path_statistics(records: DataFrame, decoder: Decoder) -> DataFrame:
+def path_statistics(records: DataFrame, decoder: Decoder, more=None) -> DataFrame:
     """(node, bucket, texts, length, stops, titles, rewrites) of every path bucket, over all source texts and rewrites.
 
-    Tasks add up their own counts first; a text that stands next to itself in a partition counts once."""
+    Tasks add up their own counts first; a text that stands next to itself in a partition counts once. `more(text)` may give
+    further (node, bucket) of a text to be counted in the same pass."""
     shape = pa.schema([("b", pa.int32()), ("node", pa.string()), *[(c, pa.int64()) for c in ("texts", "length", "stops", "titles", "rewrites")]])
 
     def run(it):
@@ -87,6 +88,8 @@ def path_statistics(records: DataFrame, decoder: Decoder) -> DataFrame:
                     seen.add(h)
                     fresh.append((text, rewrite))
             for text, (_, rewrite) in zip(decoder.texts([x for x, _ in fresh]), fresh):
+                for node, k in more(text) if more else ():
+                    total.setdefault((k, node), [0, 0, 0, 0, 0])[0] += 1
                 lines = [x.strip() for x in text.split("\n")]
                 lines = [x for x in lines if x]
                 size = [weight(x) for x in lines]
@@ -208,7 +211,11 @@ class LineModel:
 
 def line_model(records: DataFrame, decoder: Decoder) -> LineModel:
     """The path statistics of the whole corpus, and from them one verdict per bucket."""
-    s = path_statistics(records, decoder)
+    return of_statistics(path_statistics(records, decoder), decoder)
+
+
+def of_statistics(s: DataFrame, decoder: Decoder) -> LineModel:
+    s = s.where(F.col("node").isin("leaf", "open", "close"))
     n = F.col("texts")
     share = n / (n + F.col("rewrites"))
     furniture = (n >= LEAST_TEXTS) & (share >= LEAST_SHARE) & (F.col("length") / n <= MOST_LENGTH) & (F.col("titles") / n <= MOST_TITLE)

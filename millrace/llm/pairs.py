@@ -14,7 +14,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from .arrowtext import batches
 from .langid import LANGUAGES, Identifier
@@ -62,6 +62,12 @@ def split_pairs(content: str, source: str | None) -> list[tuple[str, str]]:
     return out
 
 
+def body_of(content: str = "content", source: str = "_source_text") -> Column:
+    """The content behind its source text, where it begins with it: the part with the pairs."""
+    c, s = F.col(content), F.coalesce(F.col(source), F.lit(""))
+    return F.when(F.startswith(c, s), F.substring(c, F.length(s) + 1, F.length(c))).otherwise(c)
+
+
 def stem_and_options(question: str) -> tuple[str, list[str]]:
     first = OPTION.search(question)
     if not first:
@@ -135,9 +141,10 @@ def bucket(key: str) -> int:
 
 def frequent(df: DataFrame, column: str, least: int, share: float) -> np.ndarray:
     """One bit per bucket of `column` that holds `least` rows and `share` of all rows: 2 MB for any corpus."""
-    n = df.groupBy(column).agg(F.count("*").alias("n"))
+    n = df.groupBy(column).agg(F.count("*").alias("n")).persist()
     total = n.agg(F.sum("n").alias("s")).first()["s"] or 0
     b = np.asarray(n.where(F.col("n") >= max(least, share * total)).select(column).toArrow()[column])
+    n.unpersist()
     bits = np.zeros(1 << BITS, np.bool_)
     bits[b.astype(np.int64)] = True
     return np.packbits(bits)
@@ -151,14 +158,14 @@ def open_answers(records: DataFrame, decoder) -> DataFrame:
     """(b): the bucket of the shape of every answer that isn't closed, empty, or marked as cut."""
 
     def run(it):
-        for b in batches(it, ["content"], 1 << 20):
+        for b in batches(it, ["body"], 4 << 20):
             out = []
-            for c, s in zip(*(decoder.texts(b.column(i).to_pylist()) for i in range(2))):
-                out += [bucket(shape(a)) for _, a in split_pairs(c, s) if not is_nothing(a) and not closed(a) and not MARK.search(a)]
+            for c in decoder.texts(b.column(0).to_pylist()):
+                out += [bucket(shape(a)) for _, a in split_pairs(c, None) if not is_nothing(a) and not closed(a) and not MARK.search(a)]
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(out, pa.int32())], names=["b"])
 
-    return records.where("style = 'qa' and content is not null").select("content", "_source_text").mapInArrow(run, "b int")
+    return records.where("style = 'qa' and content is not null").select(body_of().alias("body")).mapInArrow(run, "b int")
 
 
 class PairModel:
@@ -233,10 +240,10 @@ def defective_pairs(records: DataFrame, model: PairModel, residue=None) -> DataF
     decoder = model.identifier.decoder
 
     def run(it):
-        for b in batches(it, ["content"], 1 << 20):
+        for b in batches(it, ["body"], 1 << 20):
             pairs, uid, no = [], [], []
-            for u, c, s in zip(b.column(0).to_pylist(), *(decoder.texts(b.column(i).to_pylist()) for i in (1, 2))):
-                p = split_pairs(c, s)
+            for u, c in zip(b.column(0).to_pylist(), decoder.texts(b.column(1).to_pylist())):
+                p = split_pairs(c, None)
                 pairs += p
                 uid += [u] * len(p)
                 no += range(1, len(p) + 1)
@@ -245,7 +252,7 @@ def defective_pairs(records: DataFrame, model: PairModel, residue=None) -> DataF
             if keep:
                 yield pa.RecordBatch.from_arrays([pa.array([uid[i] for i in keep], pa.string()), pa.array([no[i] for i in keep], pa.int64()), pa.array([d[i] for i in keep])], names=["uid", "pair_no", "defect"])
 
-    out = records.where("style = 'qa' and content is not null").select("uid", "content", "_source_text").mapInArrow(run, "uid string, pair_no long, defect string").dropDuplicates(["uid", "pair_no"])
+    out = records.where("style = 'qa' and content is not null").select("uid", body_of().alias("body")).mapInArrow(run, "uid string, pair_no long, defect string").dropDuplicates(["uid", "pair_no"])
     return out if residue is None else out.join(residue, "uid", "left_anti")
 
 

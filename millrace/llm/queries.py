@@ -31,7 +31,7 @@ def p1_found(spark, sf_dir):
 def _truncation(spark, sf_dir) -> DataFrame:
     t = _table(spark, sf_dir, "sample_5")
     ident = langid.identifier(t)
-    ends = truncation.endings(t, ident, pages.line_model(t, ident.decoder), pairs.pair_model(t, ident))
+    ends = truncation.endings(t, ident, pairs.pair_model(t, ident))
     values = truncation.truncated(cut(truncation.measured(t, ends)))
     # error pages, script notices and filler end as they end: of the contents found, those with such residue are whole
     found = cut(values.where("field = 'content' and log_odds > 0").select("uid"))
