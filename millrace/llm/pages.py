@@ -17,7 +17,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from .arrowtext import batches
 from .codepages import Decoder
@@ -53,6 +53,12 @@ def bucket(kind: str, key: str) -> int:
     return zlib.crc32(f"{kind}\x00{key}".encode()) & ((1 << BITS) - 1)
 
 
+def body_of(content: str = "content", source: str = "_source_text") -> Column:
+    """The content behind its source text, where it begins with it: the part with the pairs."""
+    c, s = F.col(content), F.coalesce(F.col(source), F.lit(""))
+    return F.when(F.startswith(c, s), F.substring(c, F.length(s) + 1, F.length(c))).otherwise(c)
+
+
 def paths(line: str) -> list[tuple[str, int]]:
     """(node, bucket) of a line: leaf, opening and closing. Marks of lists are no part of the words."""
     m = MARKER.match(line)
@@ -71,8 +77,9 @@ def paths(line: str) -> list[tuple[str, int]]:
 def path_statistics(records: DataFrame, decoder: Decoder, more=None) -> DataFrame:
     """(node, bucket, texts, length, stops, titles, rewrites) of every path bucket, over all source texts and rewrites.
 
-    Tasks add up their own counts first; a text that stands next to itself in a partition counts once. `more(text)` may give
-    further (node, bucket) of a text to be counted in the same pass."""
+    Tasks add up their own counts first; a text that stands next to itself in a partition counts once. `more(text, kind)` may
+    give further (node, bucket) to be counted in the same pass, kind being 0 for source texts, 1 for rewrites and 2 for what a
+    qa record holds behind its source text, which is read only for `more`."""
     shape = pa.schema([("b", pa.int32()), ("node", pa.string()), *[(c, pa.int64()) for c in ("texts", "length", "stops", "titles", "rewrites")]])
 
     def run(it):
@@ -80,16 +87,19 @@ def path_statistics(records: DataFrame, decoder: Decoder, more=None) -> DataFram
         total: dict[tuple[int, str], list[int]] = {}
         for b in batches(it, ["text"], 4 << 20):
             fresh = []
-            for text, rewrite in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                h = hash((text, rewrite))
+            for text, what in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                h = hash((text, what))
                 if h not in seen:
                     if len(seen) > 200_000:
                         seen.clear()
                     seen.add(h)
-                    fresh.append((text, rewrite))
-            for text, (_, rewrite) in zip(decoder.texts([x for x, _ in fresh]), fresh):
-                for node, k in more(text) if more else ():
+                    fresh.append((text, what))
+            for text, (_, what) in zip(decoder.texts([x for x, _ in fresh]), fresh):
+                rewrite = what == 1
+                for node, k in more(text, what) if more else ():
                     total.setdefault((k, node), [0, 0, 0, 0, 0])[0] += 1
+                if what == 2:
+                    continue
                 lines = [x.strip() for x in text.split("\n")]
                 lines = [x for x in lines if x]
                 size = [weight(x) for x in lines]
@@ -116,8 +126,11 @@ def path_statistics(records: DataFrame, decoder: Decoder, more=None) -> DataFram
         total.clear()
         return out
 
-    src = records.select(F.col("_source_text").alias("text"), F.lit(False).alias("rewrite")).unionByName(
-        records.where("style = 'multi_style'").select(F.col("content").alias("text"), F.lit(True).alias("rewrite"))).where("text is not null and text <> ''")
+    item = lambda text, kind: F.struct(text.alias("text"), F.lit(kind).alias("kind"))
+    items = [item(F.col("_source_text"), 0), item(F.when(F.col("style") == "multi_style", F.col("content")), 1)]
+    if more:
+        items.append(item(F.when(F.col("style") == "qa", body_of()), 2))
+    src = records.select(F.explode(F.array(*items)).alias("v")).select("v.*").where("text is not null and text <> ''")
     part = src.mapInArrow(run, "b int, node string, texts long, length long, stops long, titles long, rewrites long")
     sums = [F.sum(c).alias(c) for c in ("texts", "length", "stops", "titles", "rewrites")]
     return part.groupBy("node", F.col("b").alias("bucket")).agg(*sums)

@@ -14,11 +14,11 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from .arrowtext import batches
 from .langid import LANGUAGES, Identifier
-from .pages import HAN, closed
+from .pages import HAN, body_of, closed
 
 LABEL = re.compile(r"(?:^|\n)[ \t　]*(?:Question\s*[:：]|问题\s*[:：])")
 ANSWER = re.compile(r"(?:Answer\s*[:：]|答案\s*[:：])")
@@ -62,12 +62,6 @@ def split_pairs(content: str, source: str | None) -> list[tuple[str, str]]:
     return out
 
 
-def body_of(content: str = "content", source: str = "_source_text") -> Column:
-    """The content behind its source text, where it begins with it: the part with the pairs."""
-    c, s = F.col(content), F.coalesce(F.col(source), F.lit(""))
-    return F.when(F.startswith(c, s), F.substring(c, F.length(s) + 1, F.length(c))).otherwise(c)
-
-
 def stem_and_options(question: str) -> tuple[str, list[str]]:
     first = OPTION.search(question)
     if not first:
@@ -154,6 +148,11 @@ def on(bits: np.ndarray, k: int) -> bool:
     return bool(bits[k >> 3] >> (7 - (k & 7)) & 1)
 
 
+def open_shapes(body: str) -> list[int]:
+    """Buckets of the shapes of the answers that aren't closed, empty or marked as cut."""
+    return [bucket(shape(a)) for _, a in split_pairs(body, None) if not is_nothing(a) and not closed(a) and not MARK.search(a)]
+
+
 def open_answers(records: DataFrame, decoder) -> DataFrame:
     """(b): the bucket of the shape of every answer that isn't closed, empty, or marked as cut."""
 
@@ -161,7 +160,7 @@ def open_answers(records: DataFrame, decoder) -> DataFrame:
         for b in batches(it, ["body"], 4 << 20):
             out = []
             for c in decoder.texts(b.column(0).to_pylist()):
-                out += [bucket(shape(a)) for _, a in split_pairs(c, None) if not is_nothing(a) and not closed(a) and not MARK.search(a)]
+                out += open_shapes(c)
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(out, pa.int32())], names=["b"])
 
@@ -186,12 +185,14 @@ class PairModel:
             return False
         return not on(self.shapes, bucket(shape(a)))
 
-    def defects(self, pairs: list[tuple[str, str]]) -> list[str | None]:
+    def defects(self, pairs: list[tuple[str, str]], record: list[int] | None = None) -> list[str | None]:
+        """The defect of each pair, or None. `record` numbers the record of each pair: its questions together tell their language."""
+        record = record or [0] * len(pairs)
         out: list[str | None] = []
-        ask: list[str] = []
-        where: list[int] = []
+        stems, ask, where = [], [], []
         for q, a in pairs:
             stem, _ = stem_and_options(q)
+            stems.append(stem)
             if is_nothing(a):
                 out.append("empty_answer")
             elif is_refusal(a):
@@ -201,22 +202,33 @@ class PairModel:
             else:
                 out.append("truncated_answer" if self.is_truncated(q, a) else None)
                 bare = QUOTED.sub(" ", a)
-                # options are quoted from the question, whatever their language
-                if len(re.findall(r"[^\W\d_]", bare)) >= 2 and not (HAN.search(bare) and HAN.search(stem) and len(HAN.findall(bare)) * 2 > len(bare)):
+                if len(re.findall(r"[^\W\d_]", bare)) >= 2:
                     where.append(len(out) - 1)
-                    ask += [stem, bare]
-        if ask:
-            cos = self.identifier.centroids.cosines(ask)
-            size, _, _ = self.identifier._figures(ask)
-            for i, k in enumerate(where):
-                cq, ca = cos[2 * i], cos[2 * i + 1]
-                ql, al = int(cq.argmax()), int(ca.argmax())
-                script = _script(ask[2 * i]), _script(ask[2 * i + 1])
+                    ask.append(bare)
+        if not ask:
+            return out
+        asked = self.identifier.centroids.cosines(stems)
+        for j, s in enumerate(stems):  # one script, one vote
+            if (sc := _script(s)) != "latin":
+                asked[j] *= 0.0
+                asked[j, LANGUAGES.index("zh" if sc == "han" else "ru")] = 1.0 if sc else 0.0
+        total: dict[int, np.ndarray] = {}
+        for r, c in zip(record, asked):
+            total[r] = total.get(r, 0) + c
+        cos = self.identifier.centroids.cosines(ask)
+        size, _, _ = self.identifier._figures(ask)
+        latin = [k for k, x in enumerate(LANGUAGES) if x not in ("zh", "ru")]
+        for i, k in enumerate(where):
+            ql, ca, n = int(total[record[k]].argmax()), cos[i], size[i]
+            script = _script(ask[i])
+            own = {"zh": "han", "ru": "cyrillic"}.get(LANGUAGES[ql], "latin")
+            if script != own:
+                if n >= 6 and not (script == "latin" and _names_only(ask[i])):
+                    out[k] = "other_language"
+            elif script == "latin":
+                al = max(latin, key=lambda x: ca[x])
                 lead = (ca[al] - ca[ql]) / (ca[al] + 1e-9)
-                if script[0] != script[1] and script[1] and script[0]:
-                    if size[2 * i + 1] >= 6 and not (script[1] == "latin" and _names_only(ask[2 * i + 1])):
-                        out[k] = "other_language"
-                elif ql != al and script[1] == "latin" and LANGUAGES[al] not in ("zh", "ru") and ((size[2 * i + 1] >= 14 and lead >= 0.2) or (size[2 * i + 1] >= 40 and lead >= 0.12)):
+                if al != ql and ((n >= 14 and lead >= 0.2) or (n >= 40 and lead >= 0.12)):
                     out[k] = "other_language"
         return out
 
@@ -241,13 +253,14 @@ def defective_pairs(records: DataFrame, model: PairModel, residue=None) -> DataF
 
     def run(it):
         for b in batches(it, ["body"], 1 << 20):
-            pairs, uid, no = [], [], []
-            for u, c in zip(b.column(0).to_pylist(), decoder.texts(b.column(1).to_pylist())):
+            pairs, uid, no, record = [], [], [], []
+            for r, (u, c) in enumerate(zip(b.column(0).to_pylist(), decoder.texts(b.column(1).to_pylist()))):
                 p = split_pairs(c, None)
                 pairs += p
+                record += [r] * len(p)
                 uid += [u] * len(p)
                 no += range(1, len(p) + 1)
-            d = model.defects(pairs)
+            d = model.defects(pairs, record)
             keep = [i for i, x in enumerate(d) if x]
             if keep:
                 yield pa.RecordBatch.from_arrays([pa.array([uid[i] for i in keep], pa.string()), pa.array([no[i] for i in keep], pa.int64()), pa.array([d[i] for i in keep])], names=["uid", "pair_no", "defect"])
