@@ -294,8 +294,11 @@ class Decoder:
 
 
 def sample_rows(df: DataFrame, columns: list[str], rows: int = SAMPLE_ROWS):
-    """The first `rows` rows of df as an Arrow table: the bounded sample that models are fitted on."""
-    return df.select(*columns).limit(rows).toArrow()
+    """The first `rows` rows of df as an Arrow table: the bounded sample that models are fitted on.
+
+    A collected limit takes whole partitions in order, so the sample is the same each time and no more is read than needed."""
+    got = df.select(*columns).limit(rows).collect()
+    return pa.table({c: pa.array([r[i] for r in got], pa.string()) for i, c in enumerate(columns)})
 
 
 def fit(texts: list[str | None], rounds: int = 2) -> Decoder:

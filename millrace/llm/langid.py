@@ -44,6 +44,8 @@ SENSE = -4.6
 LEAD = 0.12
 
 
+_HAN, _CYRILLIC, _LATIN = re.compile("[㐀-鿿]"), re.compile("[Ѐ-ӿ]"), re.compile("[A-Za-zÀ-ɏ]")
+_CODES = re.compile(r"\b(?=\w*\d)(?=\w*[A-Za-z])\w{3,}\b")
 _CELLS = re.compile(r"[|·>\t;/]|  |,\S")
 
 
@@ -178,6 +180,27 @@ class Identifier:
     def __init__(self, decoder: Decoder, centroids: Centroids):
         self.decoder, self.centroids = decoder, centroids
 
+    @staticmethod
+    def _by_script(lines: list[str], cos: np.ndarray, least: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Only the centroids of languages that write a line's script compete for it; where that is one language, half the least cosine will do."""
+        zh, ru = LANGUAGES.index("zh"), LANGUAGES.index("ru")
+        cos, least = cos.copy(), least.copy()
+        for j, s in enumerate(lines):
+            if s.isascii():
+                script = "latin"
+            else:
+                han, cyr, lat = 2 * len(_HAN.findall(s)), len(_CYRILLIC.findall(s)), len(_LATIN.findall(s))
+                script = "han" if han >= max(cyr, lat, 1) else "cyrillic" if cyr >= max(lat, 1) else "latin"
+            if script == "latin":
+                cos[j, [zh, ru]] *= 0.2
+            else:
+                own = zh if script == "han" else ru
+                keep = cos[j, own]
+                cos[j] *= 0.2
+                cos[j, own] = keep
+                least[j] /= 2
+        return cos, least
+
     def _figures(self, lines: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Per line: letters (an ideograph counts for three), characters but blanks, mean log-probability of its character pairs."""
         if not lines:
@@ -212,13 +235,14 @@ class Identifier:
             per[i].append(j)
         size = np.array([len(s) for s in lines], np.float64)
         least = NEAR[0] + (NEAR[1] - NEAR[0]) * np.clip(np.log(np.maximum(size, 1) / 20) / np.log(10), 0, 1)
+        cos, least = self._by_script(lines, cos, least)
         best = cos.argmax(axis=1) if len(lines) else np.zeros(0, np.int64)
         top = cos.max(axis=1) if len(lines) else np.zeros(0)
         second = np.partition(cos, -2, axis=1)[:, -2] if len(lines) else top
         conf = (top - second) / (top + 1e-9)
         n_letters, shown, sense = self._figures(lines)
         good = (top >= least) & (n_letters >= 0.35 * shown) & (sense > SENSE)
-        good &= np.array([readable_share(s) > 0.3 for s in lines], np.bool_)
+        good &= np.array([readable_share(s) > 0.3 and 3 * len(_CODES.findall(s)) < len(s.split()) for s in lines], np.bool_)
         for i, js in enumerate(per):
             ok = [j for j in js if good[j]]
             if not ok or 4 * len(ok) < len(js):
@@ -234,6 +258,8 @@ class Identifier:
                     continue
                 lead = (cos[j, best[j]] - cos[j, main]) / (cos[j, best[j]] + 1e-9)
                 # a line in its own right: a closed sentence, or long enough to be one
+                if "©" in lines[j]:
+                    continue  # names and years, in no language of their own
                 whole = lines[j].rstrip("\"'”»“）)」』").endswith((".", "!", "?", "。", "！", "？", "…"))
                 if lead >= LEAD and n_letters[j] >= 12 and (whole or (n_letters[j] >= 40 and not _CELLS.search(lines[j]))):
                     out[i].append((number[j], LANGUAGES[best[j]], float(lead)))

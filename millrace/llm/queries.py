@@ -30,8 +30,8 @@ def p1_found(spark, sf_dir):
 
 def _truncation(spark, sf_dir) -> DataFrame:
     t = _table(spark, sf_dir, "sample_5")
-    ident = langid.identifier(t)
-    ends = truncation.endings(t, ident, pairs.pair_model(t, ident))
+    ident = langid.Identifier(codepages.fit_on(t), None)  # only its decoder is needed here
+    ends = truncation.endings(t, ident)
     values = truncation.truncated(cut(truncation.measured(t, ends)))
     # error pages, script notices and filler end as they end: of the contents found, those with such residue are whole
     found = cut(values.where("field = 'content' and log_odds > 0").select("uid"))
@@ -66,9 +66,9 @@ def p3_restored(spark, sf_dir):
     return codepages.garbled(t, codepages.fit_on(t))
 
 
-def _named_figures(t: DataFrame, decoder, lines, rewrites: bool) -> DataFrame:
+def _named_figures(t: DataFrame, decoder, lines, rewrites: bool, full: bool = False) -> DataFrame:
     sample = codepages.sample_rows(t, ["_source_text"])["_source_text"].to_pylist()
-    fig = quality.Figures(decoder, lines, quality.common_words(sample))
+    fig = quality.Figures(decoder, lines, quality.common_words(sample), full)
     figs = cut(quality.figures(t, fig, rewrites))
     return quality.named(figs, quality.fit_mixture(figs, fig))
 
@@ -77,7 +77,7 @@ def p4_figures(spark, sf_dir):
     """(uid, field, the figures, kind, posterior) of every source text and rewrite."""
     t = _table(spark, sf_dir, "sample_5")
     decoder = codepages.fit_on(t)
-    return _named_figures(t, decoder, pages.line_model(t, decoder), True)
+    return _named_figures(t, decoder, pages.line_model(t, decoder), True, full=True)
 
 
 def p4_found(spark, sf_dir):
