@@ -22,7 +22,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from .arrowtext import batches
 from .codepages import Decoder
 
-BITS = 20
+#: Buckets are 2 to this power, so that few paths share one; a verdict takes one bit, 2 MB for all.
+BITS = 24
 #: Texts that a path must occur in, and its least share of source texts against rewrites.
 LEAST_TEXTS, LEAST_SHARE = 4, 0.9
 #: Text length per line up to which a path can be furniture, and most of its lines that may stand as a title.
@@ -156,7 +157,7 @@ def data_row(line: str) -> bool:
 
 
 class LineModel:
-    """Verdicts per path bucket: 1 MB each, whatever the corpus."""
+    """Verdicts per path bucket: 2 MB each, whatever the corpus."""
 
     def __init__(self, decoder: Decoder, furniture: np.ndarray, kept: np.ndarray):
         self.decoder = decoder
@@ -172,6 +173,8 @@ class LineModel:
         at = paths(line)
         if self._on(self.kept, at[0][1]):
             return "kept"
+        if MARKER.match(line):
+            return ""  # an item is furniture only by the lines over it
         if any(self._on(self.furniture, k) for _, k in at):
             return "furniture"
         parts = [p for p in SPLIT.split(DIGITS.sub("0", line.strip())) if p and p.strip('"')]
