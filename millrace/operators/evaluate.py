@@ -179,7 +179,7 @@ def corpus_profile(df: DataFrame, text: str, by: list[str] | None = None) -> Dat
     words = F.size(F.filter(F.split(t, r"(?U)\s+"), lambda x: x != ""))
     lines = split_lines(t)
     has = lambda p: F.size(F.filter(lines, lambda x: x.rlike(p)))
-    d = df.select(*(by or []), F.length(t).alias("_c"), words.alias("_w"), F.size(F.filter(F.split(t, r"\n\s*\n"), lambda x: F.length(F.trim(x)) > 0)).alias("_p"), has(r"^\s*[-*•]\s").alias("_b"), has(r"^\s*\d+[.)]\s").alias("_n"), has(r"^#{1,6}\s").alias("_h"))
+    d = df.select(*(by or []), F.length(t).alias("_c"), words.alias("_w"), F.size(F.filter(F.split(t, r"\n\s*\n"), nonblank)).alias("_p"), has(r"^\s*[-*•]\s").alias("_b"), has(r"^\s*\d+[.)]\s").alias("_n"), has(r"^#{1,6}\s").alias("_h"))
     pts = [0.05, 0.25, 0.5, 0.75, 0.95]
     names = ["p5", "p25", "p50", "p75", "p95"]
     out = d.groupBy(*(by or [])).agg(F.count("*").alias("rows"), F.percentile("_c", F.array(*map(F.lit, pts))).alias("_pc"), F.percentile("_w", F.array(*map(F.lit, pts))).alias("_pw"),

@@ -84,6 +84,12 @@ def roundtrip_ok(source: Column, pairs: Column, language: str) -> Column:
     return F.coalesce(normalized(split(assemble(source, pairs, language), language)["pairs"]) == normalized(pairs), F.lit(False))
 
 
+def generated_pairs(df: DataFrame, language: str, record: str = "generated_record") -> DataFrame:
+    """pairs (stripped) and failure_reason of the content of a generated record; a missing record has the reason 'empty_content'."""
+    s = split(F.col(f"{record}.content"), language)
+    return df.withColumn("_s", s).withColumn("pairs", normalized(F.col("_s.pairs"))).withColumn("failure_reason", F.col("_s.failure_reason")).drop("_s")
+
+
 # ---------------------------------------------------------------- the cascade
 
 

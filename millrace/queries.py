@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from .cluster import cut, ship
 from .functions import jsonish, patterns as P
 from .functions.text import first_text, snippet, trigram_support
-from .operators import evaluate as E, joins as J, judging, qapairs as Q, seedgate as S
+from .operators import evaluate as E, joins as J, judging, qapairs as Q, runs as R, seedgate as S
 from .plans import generate as G
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -242,7 +242,11 @@ def top_removed_reasons(spark, d):
     return E.most_common(t, "reason", 5, "row_id")
 
 
-@query()
+_KINDS = [("true_false", r"\A(?:true or false|判断题|vrai ou faux|richtig oder falsch|verdadero o falso|verdadeiro ou falso|верно или неверно)"), ("choice", r"(?m)^\s*a[.．、)]|以下哪|下列哪"), ("how_many", r"\A(?:how many|how much|combien|wie viele|cuántos|quantos|сколько)|多少"),
+          ("what", r"\A(?:in )?what\b|什么"), ("which", r"\A(?:in )?which\b|哪"), ("who", r"\Awho\b|谁"), ("when", r"\Awhen\b|何时|哪一年"), ("where", r"\Awhere\b|哪里"), ("why", r"\Awhy\b|为什么"), ("how", r"\Ahow\b|怎样|如何")]
+
+
+@query("SELECT kind, n, n / sum(n) OVER ()::DOUBLE AS share FROM (SELECT CASE " + " ".join(f"WHEN regexp_matches(q, '{p}') THEN '{k}'" for k, p in _KINDS) + f" ELSE 'other' END AS kind, count(*) AS n FROM (SELECT lower({sql_strip("coalesce(p.question, '')")}) AS q FROM ({_PRE})) GROUP BY 1)")
 def question_types(spark, d):
     t = _prefilter(spark, d).select(F.explode("_qa_prefilter_pairs.question").alias("q"))
     n = t.groupBy(E.question_type(F.col("q")).alias("kind")).agg(F.count("*").alias("n"))
@@ -328,7 +332,9 @@ def corpus_profile(spark, d):
     return p.select("lang", "rows", *[c for c in p.columns if c.startswith(("chars_", "words_"))])
 
 
-@query()
+@query("""WITH t AS (SELECT lang, style, coalesce(text, '') AS t FROM documents), l AS (SELECT lang, style, t, regexp_split_to_array(t, '\\r\\n|[\\n\\r\\x0b\\x0c\\x1c\\x1d\\x1e\\x{85}\\x{2028}\\x{2029}]') AS lines FROM t)
+SELECT lang, style, count(*) AS rows, avg(len(list_filter(regexp_split_to_array(t, '\\n\\s*\\n'), lambda x: length(""" + sql_strip("x") + """) > 0))) AS avg_paragraphs, count(*) FILTER (len(list_filter(lines, lambda x: regexp_matches(x, '^\\s*[-*•]\\s'))) > 0) AS rows_with_bullets,
+ count(*) FILTER (len(list_filter(lines, lambda x: regexp_matches(x, '^\\s*\\d+[.)]\\s'))) > 0) AS rows_with_numbers, count(*) FILTER (len(list_filter(lines, lambda x: regexp_matches(x, '^#{1,6}\\s'))) > 0) AS rows_with_headings FROM l GROUP BY 1, 2""")
 def corpus_structure(spark, d):
     p = E.corpus_profile(table(spark, d, "documents"), "text", ["lang", "style"])
     return p.select("lang", "style", "rows", "avg_paragraphs", "rows_with_bullets", "rows_with_numbers", "rows_with_headings")
@@ -344,6 +350,37 @@ def corpus_extremes(spark, d):
     return E.extremes(table(spark, d, "documents"), "text", "doc_id").drop("snippet")
 
 
+@query("SELECT _internal_style, count(*) AS n, avg(length(content)) AS mean_chars, quantile_cont(length(content), 0.9) AS p90_chars, avg(length(content) / length(_source_text)) AS mean_ratio, quantile_cont(length(content) / length(_source_text), 0.5) AS median_ratio FROM sample_5 WHERE style = 'multi_style' AND length(_source_text) > 0 AND content IS NOT NULL GROUP BY 1")
+def rewrite_ratios(spark, d):
+    return R.rewrite_ratios(table(spark, d, "sample_5"), ["_internal_style"])
+
+
+@query("""SELECT qa_ok, rewrite_ok, source_docs, pairs_removed, pairs_adjusted, content_chars, qa_failed, rewrite_failed, doc_failed, qa_ok / greatest(qa_ok + qa_failed, 1)::DOUBLE AS qa_success_rate, rewrite_ok / greatest(rewrite_ok + rewrite_failed, 1)::DOUBLE AS rewrite_success_rate FROM
+ (SELECT count(*) FILTER (style = 'qa') AS qa_ok, count(*) FILTER (style = 'multi_style') AS rewrite_ok, count(DISTINCT _source_text) AS source_docs, sum(coalesce(len(_qa_filter_removed), 0))::BIGINT AS pairs_removed, sum(coalesce(len(_qa_filter_adjusted), 0))::BIGINT AS pairs_adjusted, sum(length(content))::BIGINT AS content_chars FROM sample_5),
+ (SELECT count(*) FILTER (task = 'qa') AS qa_failed, count(*) FILTER (task = 'rewrite') AS rewrite_failed, count(*) FILTER (task = 'doc') AS doc_failed FROM failures)""")
+def run_stats(spark, d):
+    return R.run_stats(table(spark, d, "sample_5"), table(spark, d, "failures"))
+
+
+@query("SELECT internal_style, coalesce(try_cast(prompt_tokens AS BIGINT), 0) AS tokens, count(*) AS n FROM perf_calls WHERE ok IS NOT NULL GROUP BY 1, 2")
+def prompt_token_counts(spark, d):
+    t = table(spark, d, "perf_calls").where("ok is not null")
+    return t.groupBy("internal_style", R.token_field(t, "prompt_tokens", "input_tokens").alias("tokens")).agg(F.count("*").alias("n"))
+
+
+@query("SELECT _internal_style, field, avg(v) AS mean, median(v) AS median, count(v) AS n FROM (SELECT _internal_style, unnest(['content_chars', 'source_chars']) AS field, unnest([length(content), length(_source_text)])::DOUBLE AS v FROM sample_5) WHERE v IS NOT NULL GROUP BY 1, 2")
+def field_summary(spark, d):
+    """The score summary (mean, median, n per field and group), over lengths as scores."""
+    t = table(spark, d, "sample_5").select("_internal_style", F.length("content").alias("content_chars"), F.length("_source_text").alias("source_chars"))
+    return E.score_summary(t.na.fill({"_internal_style": "none"}), ["content_chars", "source_chars"], ["_internal_style"]).select(F.nullif("_internal_style", F.lit("none")).alias("_internal_style"), "field", "mean", "median", "n")
+
+
+@query("SELECT internal_style, count(*) FILTER (NOT ok) AS failed, count(*) FILTER (api_attempts > 1) AS retried FROM perf_calls GROUP BY 1")
+def call_flags(spark, d):
+    t = table(spark, d, "perf_calls").select("internal_style", (~F.col("ok")).alias("failed"), (F.col("api_attempts") > 1).alias("retried"))
+    return E.flag_counts(t, ["failed", "retried"], ["internal_style"])
+
+
 # ---------------------------------------------------------------- joins, top-k, samples
 
 

@@ -9,7 +9,7 @@ from millrace.operators import qapairs as Q
 SRC = "水渠在东门附近，长三十米。" * 12
 
 
-def reference_split(c, language):
+def brute_split(c, language):
     """Brute force: the earliest label from which everything reads as pairs."""
     ql, al = P.LABELS[language]
 
@@ -50,7 +50,7 @@ def test_split_against_brute_force(spark, language):
         cases.append((SRC if rng.random() < 0.8 else "") + "".join(rng.choice([ql, al, " ", "x", "\n\n", "y z"]) for _ in range(rng.randrange(1, 14))))
     got = spark.createDataFrame([(i, c) for i, c in enumerate(cases)], "i int, c string").select("i", Q.split(F.col("c"), language).alias("s")).orderBy("i").collect()
     for c, r in zip(cases, got):
-        want = reference_split(c, language)
+        want = brute_split(c, language)
         if isinstance(want, str):
             assert r.s.failure_reason == want, c
         else:

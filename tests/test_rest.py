@@ -148,6 +148,46 @@ def test_stream(spark, tmp_path):
     assert {x.kept: x["count"] for x in spark.read.parquet(str(tmp_path / "out")).groupBy("kept").count().collect()} == {"true": 1, "false": 1}
 
 
+def test_run_figures(spark):
+    from millrace.operators import runs as R
+
+    docs = spark.createDataFrame([(0, "The mill stood by the river for years. It was repaired every winter."), (1, "")], "doc_pos long, source_text string")
+    res = G.run(G.requests(docs, "r", None, "", {"blog": "{document}"}), G.offline_generator)
+    rows = {r.doc_index: r for r in R.perf_rows(res, docs).collect()}
+    assert rows[0].ok and rows[0].input_chars == 68 and rows[0].total_tokens > 0 and rows[1].input_chars == 0
+    recs, failed = G.records(docs, res, "r")
+    s = R.run_stats(recs, failed).first()
+    assert (s.rewrite_ok, s.rewrite_failed, s.qa_ok, s.qa_success_rate) == (1, 1, 0, 0.0) and s.rewrite_success_rate == 0.5
+    assert R.rewrite_ratios(recs).first().n == 1 and R.run_stats(recs.limit(0), failed.limit(0)).first().qa_ok == 0
+    text = R.markdown(spark.createDataFrame([("a|b", 1.23456)], "k string, v double"), "T")
+    assert text.splitlines()[-1] == "| a\\|b | 1.2346 |"
+    with pytest.raises(ValueError):
+        R.markdown(spark.range(5), "T", limit=3)
+    assert json.loads(R.summary_json(spark.range(1))) == [{"id": 0}]
+    low = R.low_samples(spark.createDataFrame([("u", 1), ("v", None)], "uid string, score int"), recs.select(F.lit("u").alias("uid"), "_source_text", "content"), ["score"])
+    assert {r.uid: r.source_head is None for r in low.collect()} == {"u": False, "v": True}
+
+
+def test_config(tmp_path):
+    from millrace.plans import config
+
+    p = tmp_path / "c.json"
+    p.write_text(json.dumps({"seed": {"language": "en", "n_docs": 5}, "synthesis": {"styles": ["blog"]}}))
+    c = config.load(str(p))
+    assert c.seed.english_labels and c.seed.n_docs == 5 and c.seed.min_chars == 500 and c.synthesis.styles == ["blog"] and c.llm.retries == 3
+    p.write_text(json.dumps({"seed": {"nope": 1}}))
+    with pytest.raises(ValueError):
+        config.load(str(p))
+
+
+def test_generated_pairs(spark):
+    from millrace.operators import qapairs as Q
+
+    d = spark.createDataFrame([("a", ("x" * 120 + "\n\nQuestion: q Answer: a ",)), ("b", None)], "uid string, generated_record struct<content:string>")
+    r = {x.uid: x for x in Q.generated_pairs(d, "en").collect()}
+    assert [tuple(p) for p in r["a"].pairs] == [("q", "a")] and r["b"].failure_reason == "empty_content"
+
+
 def test_every_core_query_runs(spark, small):
     from millrace import queries
 
