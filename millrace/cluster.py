@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import io
 import tempfile
 import zipfile
 from pathlib import Path
@@ -9,6 +10,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 _shipped: set[str] = set()
+_own_folder: str | None = None
 
 
 def ship(spark: SparkSession) -> None:
@@ -17,20 +19,31 @@ def ship(spark: SparkSession) -> None:
     if sc.applicationId in _shipped:
         return
     root = Path(__file__).resolve().parent
-    to = Path(tempfile.mkdtemp()) / "millrace.zip"
-    with zipfile.ZipFile(to, "w", zipfile.ZIP_DEFLATED) as z:
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as z:
         for p in sorted(root.rglob("*.py")):
             z.write(p, p.relative_to(root.parent))
-    sc.addPyFile(str(to))
+    path = sc._jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/{sc.applicationId}/millrace.zip")
+    out = path.getFileSystem(sc._jsc.hadoopConfiguration()).create(path, True)
+    out.write(packed.getvalue())
+    out.close()
+    sc.addPyFile(path.toString())
     _shipped.add(sc.applicationId)
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """The rows of df written to the shared checkpoint folder, so that lost executors don't lose them.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that all executors share: the session's spark.checkpoint.dir; only where none is set, as in tests, a temporary one."""
+    global _own_folder
+    set_one = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if set_one:
+        return set_one.rstrip("/")
+    _own_folder = _own_folder or "file://" + tempfile.mkdtemp()
+    return _own_folder
 
-    The folder is the session's spark.checkpoint.dir; only where none is set, as in tests, a temporary one is."""
-    spark = df.sparkSession
-    sc = spark.sparkContext
+
+def cut(df: DataFrame) -> DataFrame:
+    """The rows of df written to the shared folder, so that lost executors don't lose them."""
+    sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp())
+        sc.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)
