@@ -41,6 +41,22 @@ def shared_folder(spark: SparkSession) -> str:
     return _own_folder
 
 
+def spread(df: DataFrame, by: str | None = None, small: int = 64 << 20) -> DataFrame:
+    """A table of a few small files over all cores: such a file is one task, however many cores wait. Larger tables stay as they are.
+
+    `by` keeps equal values together, so that what a task remembers of them serves."""
+    spark = df.sparkSession
+    n, files = spark.sparkContext.defaultParallelism, df.inputFiles()
+    if not files or len(files) >= n:
+        return df
+    conf, jvm = spark.sparkContext._jsc.hadoopConfiguration(), spark.sparkContext._jvm
+    size = 0
+    for f in files:
+        path = jvm.org.apache.hadoop.fs.Path(f)
+        size += path.getFileSystem(conf).getFileStatus(path).getLen()
+    return df if size > small else df.repartition(n, by) if by else df.repartition(n)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """The rows of df written to the shared folder, so that lost executors don't lose them."""
     sc = df.sparkSession.sparkContext

@@ -9,6 +9,7 @@ def any_of(*words: str) -> str:
 
 UNI = "(?dU)"  # Unicode classes, only \n ends a line
 UNI_I = "(?diU)"
+LOWER = "(?dU)"  # for texts in lower case
 
 # --- Seed pages: Chinese wrappers ---
 TAIL_CONTEXT = UNI + any_of("二维码", "扫码", "扫一扫", "公众号", "朋友圈", "转发", "在看", "点赞", "客服", "添加微信", "福利", "回复关键词", "点击阅读", "阅读原文", "相关阅读", "相关推荐", "往期", "推荐", "赞赏", "投稿", "联系方式")
@@ -32,24 +33,24 @@ DATE_LIKE = r"\d{4}[-/年\.]\d{1,2}[-/月\.]\d{1,2}日?|\d{4}年\d{1,2}月\d{1,2
 NUMBER_RANGE = r"(?<!\d)(\d{1,6}(?:\.\d+)?)\s*(?:~|～|—|–|-|至|到)\s*(\d{1,6}(?:\.\d+)?)(?!\d)"
 STANDARD_CODES = ["GB", "ISO", "ASTM", "DIN", "EN", "JIS", "HG", "QB", "JB", "YS", "DL", "SL", "SY", "YY", "JT", "NY", "MT"]
 TIME_RANGE = r"\d{1,2}:\d{2}\s*[-–—~]\s*\d{1,2}:\d{2}|\d{1,2}\.\d{1,2}\s*[-–—~]\s*\d{1,2}\.\d{1,2}|\d{4}[./-]\d{1,2}[./-]\d{1,2}\s*[-–—~]\s*\d{4}[./-]\d{1,2}[./-]\d{1,2}"
-# --- English seed labels ---
-EN_WRAPPER = UNI_I + r"\b" + any_of("subscribe", "newsletter", "read more", "related posts?", "advertisement", "sponsored", "comments?", "share", "tweet", "follow us", "contact us", "privacy policy", "terms of use") + r"\b"
-EN_WRAPPER_LINE = UNI_I + r"\A" + any_of("subscribe", "newsletter", "read more", "related posts?", "advertisement", "sponsored", "comments?", "share", "follow us") + r"\z"
-EN_ACCOUNT = UNI_I + r"\b" + any_of("get access", "lost your password", "please enter your email address", "create a new password", "sign in", "log in", "register", "my account") + r"\b"
-EN_URL = UNI_I + any_of("https?://", r"www\.")
-HTML = UNI_I + r"<(?:/?(?:p|div|br|h[1-6]|a|script|style))\b|&(?:[a-zA-Z][a-zA-Z0-9]+|#\d+|#x[0-9A-Fa-f]+);"
+# --- English seed labels: for texts in lower case, but the tail ---
+EN_WRAPPER = LOWER + r"\b" + any_of("subscribe", "newsletter", "read more", "related posts?", "advertisement", "sponsored", "comments?", "share", "tweet", "follow us", "contact us", "privacy policy", "terms of use") + r"\b"
+EN_WRAPPER_LINE = LOWER + r"\A" + any_of("subscribe", "newsletter", "read more", "related posts?", "advertisement", "sponsored", "comments?", "share", "follow us") + r"\z"
+EN_ACCOUNT = LOWER + r"\b" + any_of("get access", "lost your password", "please enter your email address", "create a new password", "sign in", "log in", "register", "my account") + r"\b"
+EN_URL = LOWER + any_of("https?://", r"www\.")
+HTML = LOWER + r"<(?:/?(?:p|div|br|h[1-6]|a|script|style))\b|&(?:[a-z][a-z0-9]+|#\d+|#x[0-9a-f]+);"
 ENCODING = r"\x{fffd}|\x{9225}|\x{e2}[\x{80}-\x{9f}\x{20ac}]|\x{c3}[\x{80}-\x{bf}]|\x{c2}[\x{80}-\x{bf}]"
 EN_MOJIBAKE = r"[\x{5e90}\x{6845}\x{8133}\x{87fa}-\x{87ff}\x{9220}-\x{923f}\x{9500}-\x{953f}]"
 NON_LATIN = r"[\x{0400}-\x{04ff}\x{0590}-\x{05ff}\x{0600}-\x{06ff}\x{3040}-\x{30ff}\x{3400}-\x{9fff}]"
-EN_FORUM = UNI_I + r"\b" + any_of("username", "user name", "posted by", "join date", "member since", "reply", "quote", "looking for advice", "what do you think", "anyone else", "help me choose", "to no avail", "head canons?", "i searched all over") + r"\b"
-EN_PERSONAL = UNI_I + r"\b" + any_of(r"hi,?\s+i(?:'| a)m", "my qualifications", "my experience", "i have a passion", "as an educator with over", "my grandfather") + r"\b"
-EN_PROMO = UNI_I + r"\b" + any_of("buy now", "order now", "coupon", "promo code", "affiliate", "discount", "sale price", "limited time", "free shipping", "shipping and handling", "pricing program", "ships free", "check out", "shop now", "price:", r"from \$", "free download", "download .* for mac", "safety suite", "latest malware", "sales consultant") + r"\b"
-EN_PROMO_SINGLE = UNI_I + any_of("roundup of the best", "best [a-z ]+ of the year", "back to school season", "it(?:'| i)s that time of the year again", r"search engine optimization \(seo\)", "we have dedicated")
-EN_SOFT_PROMO = UNI_I + r"\b" + any_of("roundup of the best", "best [a-z ]+ of the year", "memorial tree planted", "when you choose to have", "your wardrobe", "showcase team spirit", "back to school season", "your organization", "your business", "our bulletin", "our program", "our team", "we have dedicated", "we offer", "please note: this article is a starting point", "in no way do i believe") + r"\b"
-EN_SERVICE_DOMAIN = UNI_I + r"\b" + any_of("roofing", "electrician", "electrical systems?", "plumbing", "hvac", "home improvement", "contractor", "repair services?", "installation services?", "information technology", "it infrastructure", "managed it") + r"\b"
-EN_SERVICE_WORDS = UNI_I + r"\b" + any_of("reliable", "skilled", "professional", "experienced", "licensed", "insured", "services?", "customers?", "contact", "call", "quote", "whether you need", "your home", "your roof", "our team", "we can", "we offer", "customer satisfaction") + r"\b"
-EN_BIBLIOGRAPHIC = UNI_I + r"\b" + any_of("list of publications on a keyword", "book chapter or conference paper title", r"publication \(\s*name of journal\s*\)", "proceedings of", "additional document info") + r"\b"
-EN_COURSE = UNI_I + r"\b" + any_of("introducing [a-z]+ letters", "identify the words and sentences", "identify grammars", "lesson planner", "quick checks", "post-level assessment") + r"\b"
+EN_FORUM = LOWER + r"\b" + any_of("username", "user name", "posted by", "join date", "member since", "reply", "quote", "looking for advice", "what do you think", "anyone else", "help me choose", "to no avail", "head canons?", "i searched all over") + r"\b"
+EN_PERSONAL = LOWER + r"\b" + any_of(r"hi,?\s+i(?:'| a)m", "my qualifications", "my experience", "i have a passion", "as an educator with over", "my grandfather") + r"\b"
+EN_PROMO = LOWER + r"\b" + any_of("buy now", "order now", "coupon", "promo code", "affiliate", "discount", "sale price", "limited time", "free shipping", "shipping and handling", "pricing program", "ships free", "check out", "shop now", "price:", r"from \$", "free download", "download .* for mac", "safety suite", "latest malware", "sales consultant") + r"\b"
+EN_PROMO_SINGLE = LOWER + any_of("roundup of the best", "best [a-z ]+ of the year", "back to school season", "it(?:'| i)s that time of the year again", r"search engine optimization \(seo\)", "we have dedicated")
+EN_SOFT_PROMO = LOWER + r"\b" + any_of("roundup of the best", "best [a-z ]+ of the year", "memorial tree planted", "when you choose to have", "your wardrobe", "showcase team spirit", "back to school season", "your organization", "your business", "our bulletin", "our program", "our team", "we have dedicated", "we offer", "please note: this article is a starting point", "in no way do i believe") + r"\b"
+EN_SERVICE_DOMAIN = LOWER + r"\b" + any_of("roofing", "electrician", "electrical systems?", "plumbing", "hvac", "home improvement", "contractor", "repair services?", "installation services?", "information technology", "it infrastructure", "managed it") + r"\b"
+EN_SERVICE_WORDS = LOWER + r"\b" + any_of("reliable", "skilled", "professional", "experienced", "licensed", "insured", "services?", "customers?", "contact", "call", "quote", "whether you need", "your home", "your roof", "our team", "we can", "we offer", "customer satisfaction") + r"\b"
+EN_BIBLIOGRAPHIC = LOWER + r"\b" + any_of("list of publications on a keyword", "book chapter or conference paper title", r"publication \(\s*name of journal\s*\)", "proceedings of", "additional document info") + r"\b"
+EN_COURSE = LOWER + r"\b" + any_of("introducing [a-z]+ letters", "identify the words and sentences", "identify grammars", "lesson planner", "quick checks", "post-level assessment") + r"\b"
 EN_TAIL = UNI_I + r"(?:\b(?:a|an|and|as|at|be|by|for|from|in|is|it|of|on|or|the|to|was|were|with)\b|[A-Za-z]{1,3})$"
 EN_SENTENCE_END = "(?d)[.!?][\"')\\]]?$"
 EN_RANGE = UNI + r"(?<!\d)(\d+(?:\.\d+)?)\s*(?:-|–|—|~|to)\s*(\d+(?:\.\d+)?)(?!\d)"

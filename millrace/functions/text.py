@@ -10,6 +10,7 @@ from pyspark.sql import Column, functions as F
 
 # What Python's str.strip() and \s take as blank, and what splitlines() takes as a line end.
 BLANK = r"\s\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+BLANK_CHARS = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
 LINE_END = r"\n\r\x{0b}\x{0c}\x{1c}\x{1d}\x{1e}\x{85}\x{2028}\x{2029}"
 CUT_MARK = "\n...[中间截断]...\n"
 
@@ -21,11 +22,11 @@ def bind(value: Column, f) -> Column:
 
 def strip_u(c: Column) -> Column:
     """str.strip()."""
-    return F.regexp_replace(c, rf"\A[{BLANK}]+|[{BLANK}]+\z", "")
+    return F.btrim(c, F.lit(BLANK_CHARS))
 
 
 def rstrip_u(c: Column) -> Column:
-    return F.regexp_replace(c, rf"[{BLANK}]+\z", "")
+    return F.rtrim(c, F.lit(BLANK_CHARS))
 
 
 def nonblank(c: Column) -> Column:

@@ -43,7 +43,7 @@ def l0_report(records: DataFrame, by: list[str] | None = None) -> DataFrame:
         (F.count_if(F.coalesce(style.isin(P.VALID_STYLES), F.lit(False))) / n).alias("style_valid_rate"), (F.count_if(nonblank(c)) / n).alias("nonempty_rate"),
         F.when(F.lit(leaks), F.count("*")).otherwise(F.lit(0)).alias("underscore_field_leak_count"), F.coalesce(F.sum(present(P.QA_MARKERS, c)), F.lit(0)).alias("qa_marker_hit_count"),
         F.coalesce(F.sum(present(P.STYLE_MARKERS, F.lower(c))), F.lit(0)).alias("internal_style_marker_hit_count"),
-        F.count_if(c.rlike(P.ENCODING)).alias("encoding_artifact_hit_count"), F.count_if(c.rlike(P.HTML)).alias("html_artifact_hit_count"),
+        F.count_if(c.rlike(P.ENCODING)).alias("encoding_artifact_hit_count"), F.count_if(F.lower(c).rlike(P.HTML)).alias("html_artifact_hit_count"),
         F.count_if(F.length(c) < min_length(style, internal)).alias("len_warning_below_min"), F.count_if(F.length(c) > P.LONG).alias("len_above_9000"))
 
 

@@ -165,28 +165,29 @@ def english_labels(text: Column) -> Column:
 
     def first(t: Column) -> Column:
         tail = rstrip_u(t)
-        return F.struct(t.alias("t"), stripped_lines(t).alias("lines"), count_of(t, P.EN_URL).alias("urls"), count_of(t, r"\p{L}").alias("letters"), count_of(t, P.NON_LATIN).alias("foreign"), tail.alias("tail"), F.regexp_extract(tail, r"(?U)(\S*)\z", 1).alias("last"))
+        low = F.lower(t)
+        return F.struct(t.alias("t"), low.alias("low"), stripped_lines(low).alias("lines"), count_of(low, P.EN_URL).alias("urls"), count_of(t, r"\p{L}").alias("letters"), count_of(t, P.NON_LATIN).alias("foreign"), tail.alias("tail"), F.regexp_extract(tail, r"(?U)(\S*)\z", 1).alias("last"))
 
     return bind(bind(F.coalesce(text, F.lit("")), first), _english_labels)
 
 
 def _english_labels(x: Column) -> Column:
-    t, lines, urls, letters, foreign, tail, last = (x[k] for k in ("t", "lines", "urls", "letters", "foreign", "tail", "last"))
+    t, low, lines, urls, letters, foreign, tail, last = (x[k] for k in ("t", "low", "lines", "urls", "letters", "foreign", "tail", "last"))
     n = F.length(t)
     open_end = (n >= 300) & (count_of(tail, "[.!?]") >= 3) & ~tail.rlike(P.EN_SENTENCE_END)
     lows = F.regexp_extract_all(t, F.lit(P.EN_RANGE), F.lit(1))
     highs = F.regexp_extract_all(t, F.lit(P.EN_RANGE), F.lit(2))
     falling = F.exists(F.zip_with(lows, highs, lambda a, b: F.coalesce(b.try_cast("double") < a.try_cast("double"), F.lit(False))), lambda x: x)
     tests = [
-        ("web_wrapper_noise", (count_of(t, P.EN_WRAPPER) >= 2) | F.exists(lines, lambda x: x.rlike(P.EN_WRAPPER_LINE)) | t.rlike(P.EN_ACCOUNT)),
+        ("web_wrapper_noise", (count_of(low, P.EN_WRAPPER) >= 2) | F.exists(lines, lambda x: x.rlike(P.EN_WRAPPER_LINE)) | low.rlike(P.EN_ACCOUNT)),
         ("url_link_heavy", (urls >= 3) | ((urls >= 1) & (urls * 80 > n))),
-        ("html_artifact", t.rlike(P.HTML)),
+        ("html_artifact", low.rlike(P.HTML)),
         ("encoding_artifact", t.rlike(P.ENCODING) | t.rlike(P.EN_MOJIBAKE)),
         ("non_english_text", ((letters >= 200) & (count_of(t, "[A-Za-z]") / F.greatest(letters, F.lit(1)) < 0.65)) | (foreign >= 40) | (foreign / F.greatest(n, F.lit(1)) > 0.05)),
-        ("forum_personal_fragment", t.rlike(P.EN_FORUM) | t.rlike(P.EN_PERSONAL)),
-        ("ecommerce_affiliate_promotion", t.rlike(P.EN_PROMO_SINGLE) | (count_of(t, P.EN_PROMO) >= 2) | (count_of(t, P.EN_SOFT_PROMO) >= 2) | (t.rlike(P.EN_SERVICE_DOMAIN) & (count_of(t, P.EN_SERVICE_WORDS) >= 5))),
-        ("bibliographic_metadata_fragment", t.rlike(P.EN_BIBLIOGRAPHIC)),
-        ("course_listing_fragment", t.rlike(P.EN_COURSE) & (F.size(lines) <= 30)),
+        ("forum_personal_fragment", low.rlike(P.EN_FORUM) | low.rlike(P.EN_PERSONAL)),
+        ("ecommerce_affiliate_promotion", low.rlike(P.EN_PROMO_SINGLE) | (count_of(low, P.EN_PROMO) >= 2) | (count_of(low, P.EN_SOFT_PROMO) >= 2) | (low.rlike(P.EN_SERVICE_DOMAIN) & (count_of(low, P.EN_SERVICE_WORDS) >= 5))),
+        ("bibliographic_metadata_fragment", low.rlike(P.EN_BIBLIOGRAPHIC)),
+        ("course_listing_fragment", low.rlike(P.EN_COURSE) & (F.size(lines) <= 30)),
         ("abrupt_truncation", open_end & (((F.length(last) <= 5) & tail.rlike(P.EN_TAIL)) | ((F.length(tail) >= 7900) & last.rlike(r"\A[A-Za-z]{1,12}\z")))),
         ("corrupted_numeric_range", falling),
     ]

@@ -8,7 +8,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .cluster import cut, ship
+from .cluster import cut, ship, spread
 from .functions import jsonish, patterns as P
 from .functions.text import first_text, snippet, trigram_support
 from .operators import evaluate as E, joins as J, judging, qapairs as Q, runs as R, seedgate as S
@@ -30,7 +30,8 @@ def query(sql: str | None = None):
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     ship(spark)
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(df) if name in ("seed_docs", "documents", "sample_5") else df
 
 
 #: str.strip() for DuckDB: the blanks of functions.text.BLANK.
