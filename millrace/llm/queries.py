@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..cluster import cut, ship
+from ..cluster import cut, ship, spread
 from . import bpe, codepages, langid, lookalikes, mixing, pages, pairs, quality, residue, truncation
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     ship(spark)
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(df, {"sample_5": "_source_text"}.get(name)) if name in ("sample_5", "documents") else df
 
 
 def p1_labels(spark, sf_dir):
