@@ -188,6 +188,17 @@ def test_generated_pairs(spark):
     assert [tuple(p) for p in r["a"].pairs] == [("q", "a")] and r["b"].failure_reason == "empty_content"
 
 
+def test_spread_and_cut(spark, small):
+    from millrace.cluster import cut, spread
+
+    d = spark.read.parquet(f"{small}/documents.parquet")
+    s = spread(d, "source")
+    assert s.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism and s.exceptAll(d).count() == 0 == d.exceptAll(s).count()
+    assert spread(d, small=10).rdd.getNumPartitions() == d.rdd.getNumPartitions() and spread(spark.range(3)).count() == 3
+    c = cut(d.select("doc_id"))
+    assert c.count() == 100 and "documents.parquet" not in c._jdf.queryExecution().toString()
+
+
 def test_every_core_query_runs(spark, small):
     from millrace import queries
 
