@@ -75,6 +75,24 @@ def paths(line: str) -> list[tuple[str, int]]:
     return out
 
 
+def bitmaps(df: DataFrame, bucket: str, marks: dict[str, Column]) -> dict[str, np.ndarray]:
+    """One bit per bucket and mark, as bytes: set where the mark holds for a row of the bucket.
+
+    Bits are put together in words of 64 before they leave the executors, so the driver gets 2^18 short rows at most."""
+    bit = F.expr(f"shiftleft(1L, cast({bucket} % 64 as int))")
+    words = df.groupBy(F.expr(f"cast({bucket} div 64 as int)").alias("_w")).agg(*[F.bit_or(F.when(m, bit).otherwise(F.lit(0).cast("long"))).alias(n) for n, m in marks.items()]).toArrow()
+    out = {}
+    for n in marks:
+        full = np.zeros(1 << (BITS - 6), np.int64)
+        full[np.asarray(words["_w"])] = np.asarray(words[n])
+        out[n] = full.astype("<i8").view(np.uint8)
+    return out
+
+
+def on(bits: np.ndarray, k: int) -> bool:
+    return bool(bits[k >> 3] >> (k & 7) & 1)
+
+
 def path_statistics(records: DataFrame, decoder: Decoder, more=None) -> DataFrame:
     """(node, bucket, texts, length, stops, titles, rewrites) of every path bucket, over all source texts and rewrites.
 
@@ -161,24 +179,21 @@ class LineModel:
 
     def __init__(self, decoder: Decoder, furniture: np.ndarray, kept: np.ndarray):
         self.decoder = decoder
-        self.furniture, self.kept = np.packbits(furniture), np.packbits(kept)
-
-    def _on(self, bits: np.ndarray, k: int) -> bool:
-        return bool(bits[k >> 3] >> (7 - (k & 7)) & 1)
+        self.furniture, self.kept = furniture, kept
 
     def verdict(self, line: str) -> str:
         """'furniture' by its paths, 'kept' if rewrites hold the line's leaf or it is a row of data, or ''. A long paragraph is body, whatever its opening."""
         if data_row(line) or weight(line.strip()) > 170:
             return "kept" if len(line) < 170 else ""
         at = paths(line)
-        if self._on(self.kept, at[0][1]):
+        if on(self.kept, at[0][1]):
             return "kept"
         if MARKER.match(line):
             return ""  # an item is furniture only by the lines over it
-        if any(self._on(self.furniture, k) for _, k in at):
+        if any(on(self.furniture, k) for _, k in at):
             return "furniture"
         parts = [p for p in SPLIT.split(DIGITS.sub("0", line.strip())) if p and p.strip('"')]
-        if len(parts) >= 2 and all(self._on(self.furniture, bucket("leaf", p.strip('" '))) for p in parts):
+        if len(parts) >= 2 and all(on(self.furniture, bucket("leaf", p.strip('" '))) for p in parts):
             return "furniture"
         return ""
 
@@ -236,14 +251,8 @@ def of_statistics(s: DataFrame, decoder: Decoder) -> LineModel:
     share = n / (n + F.col("rewrites"))
     furniture = (n >= LEAST_TEXTS) & (share >= LEAST_SHARE) & (F.col("length") / n <= MOST_LENGTH) & (F.col("titles") / n <= MOST_TITLE)
     kept = (F.col("node") == "leaf") & (F.col("rewrites") >= 3) & (share < 0.75)
-    rows = s.where(furniture | kept).select("bucket", furniture.alias("f"), kept.alias("k")).toArrow()  # at most one row a bucket and node
-    b = np.asarray(rows["bucket"])
-    out = []
-    for c in ("f", "k"):
-        bits = np.zeros(1 << BITS, np.bool_)
-        bits[b[np.asarray(rows[c])]] = True
-        out.append(bits)
-    return LineModel(decoder, *out)
+    out = bitmaps(s.where(furniture | kept), "bucket", {"furniture": furniture, "kept": kept})
+    return LineModel(decoder, out["furniture"], out["kept"])
 
 
 def furniture(records: DataFrame, model: LineModel) -> DataFrame:

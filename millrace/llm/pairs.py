@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from .arrowtext import batches
 from .langid import LANGUAGES, Identifier
-from .pages import HAN, body_of, closed
+from .pages import BITS, HAN, bitmaps, body_of, closed, on
 
 LABEL = re.compile(r"(?:^|\n)[ \t　]*(?:Question\s*[:：]|问题\s*[:：])")
 ANSWER = re.compile(r"(?:Answer\s*[:：]|答案\s*[:：])")
@@ -35,7 +35,6 @@ Je suis désolé, mais je ne peux pas vous aider.|Désolé, cette demande dépas
 Lo siento, pero no puedo ayudar con eso.|Como modelo de IA no puedo responder a esta pregunta.|No puedo proporcionar una respuesta a esa solicitud.|Lamentablemente no puedo hablar de este tema.|No estoy autorizado a dar esa información.
 Desculpe, mas não posso ajudar com isso.|Como modelo de IA, não posso responder a esta pergunta.|Infelizmente não posso falar sobre esse assunto.|Não posso fornecer uma resposta a esse pedido.|Não estou autorizado a dar essa informação.
 Извините, но я не могу помочь с этим.|Как модель ИИ, я не могу ответить на этот вопрос.|Я не могу обсуждать эту тему.|К сожалению, я не могу предоставить ответ.|Я не вправе отвечать на этот запрос."""
-BITS = 24
 #: Times, and share of all unclosed answers, that a shape must have to be that of whole answers.
 LEAST, SHARE = 3, 3e-4
 ALIGNED, COVERED, REFUSED = 0.9, 0.6, 0.55
@@ -137,15 +136,9 @@ def frequent(df: DataFrame, column: str, least: int, share: float) -> np.ndarray
     """One bit per bucket of `column` that holds `least` rows and `share` of all rows: 2 MB for any corpus."""
     n = df.groupBy(column).agg(F.count("*").alias("n")).persist()
     total = n.agg(F.sum("n").alias("s")).first()["s"] or 0
-    b = np.asarray(n.where(F.col("n") >= max(least, share * total)).select(column).toArrow()[column])
+    bits = bitmaps(n.where(F.col("n") >= max(least, share * total)), column, {"on": F.lit(True)})["on"]
     n.unpersist()
-    bits = np.zeros(1 << BITS, np.bool_)
-    bits[b.astype(np.int64)] = True
-    return np.packbits(bits)
-
-
-def on(bits: np.ndarray, k: int) -> bool:
-    return bool(bits[k >> 3] >> (7 - (k & 7)) & 1)
+    return bits
 
 
 def open_shapes(body: str) -> list[int]:
