@@ -202,6 +202,27 @@ def test_censored_fit_finds_limits():
     assert not truncation.censored_fit(lengths, counts)[2]
 
 
+def test_neighbours_check_the_curve_at_every_size():
+    lengths = np.concatenate([np.arange(1, 21001), np.arange(100000, 110000)])
+    assert not truncation.censored_fit(lengths, np.full(len(lengths), 6))[2]
+
+
+def test_strong_limit_outweighs_a_known_ending(spark):
+    rng = np.random.default_rng(5)
+    whole = np.exp(rng.normal(6.0, 0.4, 1500)).astype(int)
+    rows = [(f"w{i}", "s", "content", int(n), int(n), i, "closed") for i, n in enumerate(whole) if n != 900]
+    rows += [(f"c{i}", "s", "content", 900, 900, 10_000 + i, "open" if i else "known") for i in range(150)] + [("k", "s", "content", 700, 700, 20_000, "known")]
+    v = truncation.truncated(spark.createDataFrame(rows, "uid string, source string, field string, chars int, bytes int, h long, ending string"))
+    got = {r.uid for r in v.where("log_odds > 0").collect()}
+    assert "c0" in got and "k" not in got and len(got) == 150
+
+
+def test_whole_open_answers_leave_room_for_a_limit(records, ident):
+    e = truncation.endings(records, ident)
+    options = "Question: Which?\nA. the mill\nB. the kiln\nAnswer: "
+    assert e.of_pairs(options + "B. the kiln") == "known" and e.of_pairs(options + "B. the kiln.") == "closed"
+
+
 def test_endings(records, ident):
     e = truncation.endings(records, ident)
     body = "The river council repaired the old stone wharf before the harvest of that year. Nobody knows who financed the glass roof. "
