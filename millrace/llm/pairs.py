@@ -4,13 +4,14 @@ Method: pairs are cut out of the content by their labels. Tokens of answer and q
 shingle containment and longest common subsequence to flag copies; answers are aligned with refusal templates
 by shingles to flag refusals; language comes from the centroids of problem 1, quotes left out. An answer that
 isn't closed is truncated unless it is one of the options, a figure, or of a shape (names and figures masked)
-that unclosed answers have again and again in the corpus; these shapes are counted over all records.
+that unclosed answers have again and again in the corpus; these shapes are counted over all records, equal ones once.
 """
 
 from __future__ import annotations
 
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -133,8 +134,8 @@ def bucket(key: str) -> int:
 
 
 def frequent(df: DataFrame, column: str, least: int, share: float) -> np.ndarray:
-    """One bit per bucket of `column` that holds `least` rows and `share` of all rows: 2 MB for any corpus."""
-    n = df.groupBy(column).agg(F.count("*").alias("n")).persist()
+    """One bit per bucket of `column` whose `n` adds up to `least` and to `share` of all: 2 MB for any corpus."""
+    n = df.groupBy(column).agg(F.sum("n").alias("n")).persist()
     total = n.agg(F.sum("n").alias("s")).first()["s"] or 0
     bits = bitmaps(n.where(F.col("n") >= max(least, share * total)), column, {"on": F.lit(True)})["on"]
     n.unpersist()
@@ -147,17 +148,19 @@ def open_shapes(body: str) -> list[int]:
 
 
 def open_answers(records: DataFrame, decoder) -> DataFrame:
-    """(b): the bucket of the shape of every answer that isn't closed, empty, or marked as cut."""
+    """(b, h, n): the bucket of the shape of every answer that isn't closed, empty, or marked as cut, and its answers in the body with the digest h.
+
+    A body counts once, however many records and deliveries hold it: copies of one cut answer don't make its shape a usual one."""
 
     def run(it):
         for b in batches(it, ["body"], 4 << 20):
-            out = []
-            for c in decoder.texts(b.column(0).to_pylist()):
-                out += open_shapes(c)
+            out = Counter((k, h) for h, c in zip(b.column(1).to_pylist(), decoder.texts(b.column(0).to_pylist())) for k in open_shapes(c))
+            once = Counter(b.column(1).to_pylist())
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array(out, pa.int32())], names=["b"])
+                yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in out], pa.int32()), pa.array([h for _, h in out], pa.int64()), pa.array([n // once[h] for (_, h), n in out.items()], pa.int64())], names=["b", "h", "n"])
 
-    return records.where("style = 'qa' and content is not null").select(body_of().alias("body")).mapInArrow(run, "b int")
+    bodies = records.where("style = 'qa' and content is not null").select(body_of().alias("body")).select("body", F.xxhash64("body").alias("h"))
+    return bodies.mapInArrow(run, "b int, h long, n long").groupBy("b", "h").agg(F.max("n").alias("n"))
 
 
 class PairModel:

@@ -191,6 +191,16 @@ def test_pair_rows(spark, records, ident):
     assert [tuple(r) for r in pairs.defective_pairs(d, m).collect()] == [("a", 1, "empty_answer")]
 
 
+def test_copies_of_a_cut_answer_count_once(spark, ident):
+    body = "Question: Why? Answer: Because the ferry crew of Larby quietly bor"
+    rows = [(f"c{i}", "qa", body, None) for i in range(40)] + [(f"r{i}", "qa", f"Question: How many {i}? Answer: 7 boats\n\nQuestion: And {i}? Answer: 8 boats", None) for i in range(3)]
+    d = spark.createDataFrame(rows, "uid string, style string, content string, _source_text string").repartition(4)
+    got = {tuple(r) for r in pairs.defective_pairs(d, pairs.pair_model(d, ident)).collect()}
+    assert got == {(f"c{i}", 1, "truncated_answer") for i in range(40)}
+    n = pairs.open_answers(d, ident.decoder).groupBy("b").sum("n").collect()
+    assert sorted(r[1] for r in n) == [1, 6]
+
+
 def test_censored_fit_finds_limits():
     rng = np.random.default_rng(4)
     full = np.exp(rng.normal(6.5, 0.5, 6000)).astype(int)
