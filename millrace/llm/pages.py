@@ -96,24 +96,16 @@ def on(bits: np.ndarray, k: int) -> bool:
 def path_statistics(records: DataFrame, decoder: Decoder, more=None) -> DataFrame:
     """(node, bucket, texts, length, stops, titles, rewrites) of every path bucket, over all source texts and rewrites.
 
-    Tasks add up their own counts first; a text that stands next to itself in a partition counts once. `more(text, kind)` may
+    A text counts once, wherever its copies lie: they meet by digest, one of each task's, before the lines are read, so a text that
+    a third of all rows hold is one row per task. Tasks then add up their own counts first. `more(text, kind)` may
     give further (node, bucket) to be counted in the same pass, kind being 0 for source texts, 1 for rewrites and 2 for what a
     qa record holds behind its source text, which is read only for `more`."""
     shape = pa.schema([("b", pa.int32()), ("node", pa.string()), *[(c, pa.int64()) for c in ("texts", "length", "stops", "titles", "rewrites")]])
 
     def run(it):
-        seen: set[int] = set()
         total: dict[tuple[int, str], list[int]] = {}
         for b in batches(it, ["text"], 4 << 20):
-            fresh = []
-            for text, what in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                h = hash((text, what))
-                if h not in seen:
-                    if len(seen) > 200_000:
-                        seen.clear()
-                    seen.add(h)
-                    fresh.append((text, what))
-            for text, (_, what) in zip(decoder.texts([x for x, _ in fresh]), fresh):
+            for text, what in zip(decoder.texts(b.column(0).to_pylist()), b.column(1).to_pylist()):
                 rewrite = what == 1
                 for node, k in more(text, what) if more else ():
                     total.setdefault((k, node), [0, 0, 0, 0, 0])[0] += 1
@@ -150,6 +142,7 @@ def path_statistics(records: DataFrame, decoder: Decoder, more=None) -> DataFram
     if more:
         items.append(item(F.when(F.col("style") == "qa", body_of()), 2))
     src = records.select(F.explode(F.array(*items)).alias("v")).select("v.*").where("text is not null and text <> ''")
+    src = src.groupBy("kind", F.xxhash64("text").alias("h"), F.octet_length("text").alias("size")).agg(F.first("text").alias("text")).select("text", "kind")
     part = src.mapInArrow(run, "b int, node string, texts long, length long, stops long, titles long, rewrites long")
     sums = [F.sum(c).alias(c) for c in ("texts", "length", "stops", "titles", "rewrites")]
     return part.groupBy("node", F.col("b").alias("bucket")).agg(*sums)

@@ -112,6 +112,13 @@ def test_furniture(lines):
     assert lines.furniture_lines("\n".join(body)) == [] and lines.furniture_lines("") == []
 
 
+def test_scattered_copies_of_a_text_count_once(spark, decoder):
+    text = "The stone wharf was sold to the river council.\nPhoto: Larby archive"
+    d = spark.createDataFrame([(f"u{i}", "multi_style", text, "A rewrite.") for i in range(24)], "uid string, style string, _source_text string, content string").repartition(6)
+    got = pages.path_statistics(d, decoder).agg({"texts": "max", "rewrites": "max"}).first()
+    assert tuple(got) == (1, 1)
+
+
 def test_furniture_rows(spark, lines):
     d = spark.createDataFrame([("a", "Home\nContact\nAbout us\n" + "Long body text of the page goes on here. " * 6), ("b", None), ("c", "")], "uid string, _source_text string")
     f = pages.furniture(d.unionByName(d), lines)
