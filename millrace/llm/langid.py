@@ -19,8 +19,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from . import corpus
 from .arrowtext import batches
-from .codepages import SAMPLE_ROWS, Decoder, fit, sample_rows
+from .codepages import Decoder, fit
+from .corpus import KEY, SOURCE
 
 LANGUAGES = ["en", "zh", "de", "fr", "es", "pt", "ru"]
 # Spellings of the languages in labels (ISO 639-1, 639-2, 639-3 and names).
@@ -34,6 +36,8 @@ SPELLINGS = {
     "ru": "ru rus russian русский russisch russe ruso russo 俄语",
 }
 _CODE = {w: k for k, v in SPELLINGS.items() for w in v.split()}
+#: Labelled texts of each language, at most, that the centroids are fitted on: those of the least digests.
+SAMPLE_TEXTS = 700
 DIMS = 4096
 CENTROIDS = 3
 #: Least cosine of a readable line, at 20 characters or less and at 200 or more; between them by the logarithm of the length.
@@ -266,31 +270,24 @@ class Identifier:
         return out
 
 
-def identifier(records: DataFrame, text: str = "_source_text", label: str = "lang", rows: int = SAMPLE_ROWS) -> Identifier:
-    t = sample_rows(records, [label, text], rows)
-    labels, texts = t[label].to_pylist(), t[text].to_pylist()
+def identifier(records: DataFrame, texts: DataFrame, label: str = "lang", rows: int = SAMPLE_TEXTS) -> Identifier:
+    """The decoder is fitted on all texts, the centroids on a sample of labelled source texts (`rows` a language)."""
     decoder = fit(texts)
-    return Identifier(decoder, fit_centroids(list(zip(labels, texts)), decoder))
+    return Identifier(decoder, fit_centroids(corpus.labelled_sample(records, texts, label_code(F.col(label)), rows), decoder))
 
 
-def languages(records: DataFrame, ident: Identifier, text: str = "_source_text") -> DataFrame:
-    """(uid, label, seg_no, lang, confidence): segment 0 is the text, segment n its line n where that is in another language.
+def languages(records: DataFrame, texts: DataFrame, ident: Identifier, label: str = "lang") -> DataFrame:
+    """(uid, label, seg_no, lang, confidence): segment 0 is the source text, segment n its line n where that is in another language.
 
-    Null, empty and unreadable texts have no row. A record delivered twice has each row once."""
-    shape = pa.schema([("uid", pa.string()), ("label", pa.string()), ("seg_no", pa.int64()), ("lang", pa.string()), ("confidence", pa.float64())])
+    Null, empty and unreadable texts have no row. A record delivered twice has each row once. Every distinct text is read once."""
 
     def run(it):
-        memo: dict[str, list] = {}
         for b in batches(it, ["text"], 1 << 20):
-            rows = b.to_pylist()
-            new = list({r["text"]: None for r in rows if r["text"] not in memo})
-            if len(memo) > 4000:
-                memo.clear()
-                new = list({r["text"]: None for r in rows})
-            memo.update(zip(new, ident.texts(new)))
-            out = [(r["uid"], r["label"], n, k, c) for r in rows for n, k, c in memo[r["text"]]]
+            h, g = b.column(0).to_pylist(), b.column(1).to_pylist()
+            out = [(h[i], g[i], n, k, c) for i, found in enumerate(ident.texts(b.column(2).to_pylist())) for n, k, c in found]
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array(x, t.type) for x, t in zip(zip(*out), shape)], schema=shape)
+                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out), (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.float64()))], names=[*KEY, "seg_no", "lang", "confidence"])
 
-    src = records.selectExpr("uid", "lang as label", f"`{text}` as text").where("text is not null and text <> ''")
-    return src.mapInArrow(run, "uid string, label string, seg_no long, lang string, confidence double").dropDuplicates(["uid", "seg_no"])
+    found = texts.where(F.col("kind") == SOURCE).select(*KEY, "text").mapInArrow(run, "h long, g long, seg_no long, lang string, confidence double")
+    keys = corpus.keyed(records, "uid", F.col(label).alias("label"), kinds=(SOURCE,)).dropDuplicates(["uid"])
+    return keys.join(found, KEY).select("uid", "label", "seg_no", "lang", "confidence")

@@ -19,8 +19,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from . import corpus
 from .arrowtext import batches
 from .codepages import Decoder
+from .corpus import BODY, KEY, REWRITE, SOURCE
 
 #: Buckets are 2 to this power, so that few paths share one; a verdict takes one bit, 2 MB for all.
 BITS = 24
@@ -28,6 +30,8 @@ BITS = 24
 LEAST_TEXTS, LEAST_SHARE = 4, 0.9
 #: Text length per line up to which a path can be furniture, and most of its lines that may stand as a title.
 MOST_LENGTH, MOST_TITLE = 110.0, 0.04
+#: What full stops add to the length ratio: a path whose lines all end in one may be this much shorter.
+STOP_WEIGHT = 0.1
 CLOSERS = "\"'”»“’）)」』】]"
 STOPS = (".", "!", "?", "。", "！", "？", "…", "।")
 MARKER = re.compile(r"^\s*(?:([-*•>▪◦·–])|(\d{1,3}[.)、])|(\([a-zA-Z0-9]{1,3}\)))\s*")
@@ -54,12 +58,6 @@ def bucket(kind: str, key: str) -> int:
     return zlib.crc32(f"{kind}\x00{key}".encode()) & ((1 << BITS) - 1)
 
 
-def body_of(content: str = "content", source: str = "_source_text") -> Column:
-    """The content behind its source text, where it begins with it: the part with the pairs."""
-    c, s = F.col(content), F.coalesce(F.col(source), F.lit(""))
-    return F.when(F.startswith(c, s), F.substring(c, F.length(s) + 1, F.length(c))).otherwise(c)
-
-
 def paths(line: str) -> list[tuple[str, int]]:
     """(node, bucket) of a line: leaf, opening and closing. Marks of lists are no part of the words."""
     m = MARKER.match(line)
@@ -93,23 +91,21 @@ def on(bits: np.ndarray, k: int) -> bool:
     return bool(bits[k >> 3] >> (k & 7) & 1)
 
 
-def path_statistics(records: DataFrame, decoder: Decoder, more=None) -> DataFrame:
-    """(node, bucket, texts, length, stops, titles, rewrites) of every path bucket, over all source texts and rewrites.
+def path_statistics(texts: DataFrame, decoder: Decoder, more=None) -> DataFrame:
+    """(node, bucket, texts, length, stops, titles, rewrites) of every path bucket, over all distinct source texts and rewrites.
 
-    A text counts once, wherever its copies lie: they meet by digest, one of each task's, before the lines are read, so a text that
-    a third of all rows hold is one row per task. Tasks then add up their own counts first. `more(text, kind)` may
-    give further (node, bucket) to be counted in the same pass, kind being 0 for source texts, 1 for rewrites and 2 for what a
-    qa record holds behind its source text, which is read only for `more`."""
-    shape = pa.schema([("b", pa.int32()), ("node", pa.string()), *[(c, pa.int64()) for c in ("texts", "length", "stops", "titles", "rewrites")]])
+    texts: (kind, text) of corpus.texts, so a text counts once, wherever its copies lie. Tasks add up their own counts first. `more(text, kind)` may
+    give further (node, key) to be counted in the same pass; bodies of qa records are read only for `more`."""
+    shape = pa.schema([("b", pa.int64()), ("node", pa.string()), *[(c, pa.int64()) for c in ("texts", "length", "stops", "titles", "rewrites")]])
 
     def run(it):
         total: dict[tuple[int, str], list[int]] = {}
         for b in batches(it, ["text"], 4 << 20):
             for text, what in zip(decoder.texts(b.column(0).to_pylist()), b.column(1).to_pylist()):
-                rewrite = what == 1
+                rewrite = what == REWRITE
                 for node, k in more(text, what) if more else ():
                     total.setdefault((k, node), [0, 0, 0, 0, 0])[0] += 1
-                if what == 2:
+                if what == BODY:
                     continue
                 lines = [x.strip() for x in text.split("\n")]
                 lines = [x for x in lines if x]
@@ -133,17 +129,12 @@ def path_statistics(records: DataFrame, decoder: Decoder, more=None) -> DataFram
     def flush(total):
         keys = list(total)
         cols = list(zip(*(total[k] for k in keys)))
-        out = pa.RecordBatch.from_arrays([pa.array([k for k, _ in keys], pa.int32()), pa.array([n for _, n in keys]), *[pa.array(c, pa.int64()) for c in cols]], schema=shape)
+        out = pa.RecordBatch.from_arrays([pa.array([k for k, _ in keys], pa.int64()), pa.array([n for _, n in keys]), *[pa.array(c, pa.int64()) for c in cols]], schema=shape)
         total.clear()
         return out
 
-    item = lambda text, kind: F.struct(text.alias("text"), F.lit(kind).alias("kind"))
-    items = [item(F.col("_source_text"), 0), item(F.when(F.col("style") == "multi_style", F.col("content")), 1)]
-    if more:
-        items.append(item(F.when(F.col("style") == "qa", body_of()), 2))
-    src = records.select(F.explode(F.array(*items)).alias("v")).select("v.*").where("text is not null and text <> ''")
-    src = src.groupBy("kind", F.xxhash64("text").alias("h"), F.octet_length("text").alias("size")).agg(F.first("text").alias("text")).select("text", "kind")
-    part = src.mapInArrow(run, "b int, node string, texts long, length long, stops long, titles long, rewrites long")
+    src = texts if more else texts.where(F.col("kind") != BODY)
+    part = src.select("text", "kind").mapInArrow(run, "b long, node string, texts long, length long, stops long, titles long, rewrites long")
     sums = [F.sum(c).alias(c) for c in ("texts", "length", "stops", "titles", "rewrites")]
     return part.groupBy("node", F.col("b").alias("bucket")).agg(*sums)
 
@@ -233,43 +224,40 @@ class LineModel:
         return not closed(line) and weight(line) < 130
 
 
-def line_model(records: DataFrame, decoder: Decoder) -> LineModel:
+def line_model(texts: DataFrame, decoder: Decoder) -> LineModel:
     """The path statistics of the whole corpus, and from them one verdict per bucket."""
-    return of_statistics(path_statistics(records, decoder), decoder)
+    return of_statistics(path_statistics(texts, decoder), decoder)
 
 
 def of_statistics(s: DataFrame, decoder: Decoder) -> LineModel:
     s = s.where(F.col("node").isin("leaf", "open", "close"))
     n = F.col("texts")
     share = n / (n + F.col("rewrites"))
-    furniture = (n >= LEAST_TEXTS) & (share >= LEAST_SHARE) & (F.col("length") / n <= MOST_LENGTH) & (F.col("titles") / n <= MOST_TITLE)
+    content = F.col("length") / n / MOST_LENGTH + STOP_WEIGHT * F.col("stops") / n
+    furniture = (n >= LEAST_TEXTS) & (share >= LEAST_SHARE) & (content <= 1.0) & (F.col("titles") / n <= MOST_TITLE)
     kept = (F.col("node") == "leaf") & (F.col("rewrites") >= 3) & (share < 0.75)
     out = bitmaps(s.where(furniture | kept), "bucket", {"furniture": furniture, "kept": kept})
     return LineModel(decoder, out["furniture"], out["kept"])
 
 
-def furniture(records: DataFrame, model: LineModel) -> DataFrame:
+def furniture(records: DataFrame, texts: DataFrame, model: LineModel) -> DataFrame:
     """(uid, line_no) of every line of page furniture in the source texts, lists, tables and junk not yet left out.
 
-    Null and empty texts have no row; a record delivered twice has each row once."""
+    Null and empty texts have no row; a record delivered twice has each row once. Every distinct text is read once."""
 
     def run(it):
-        memo: dict[str, list[int]] = {}
         for b in batches(it, ["text"], 4 << 20):
-            uid, no = [], []
-            texts = b.column(1).to_pylist()
-            if len(memo) > 4000:
-                memo.clear()
-            new = [t for t in dict.fromkeys(texts) if t not in memo]
-            memo.update((t, model.furniture_lines(t, f)) for t, f in zip(new, model.decoder.texts(new)))
-            for u, t in zip(b.column(0).to_pylist(), texts):
-                uid += [u] * len(memo[t])
-                no += memo[t]
-            if uid:
-                yield pa.RecordBatch.from_arrays([pa.array(uid, pa.string()), pa.array(no, pa.int64())], names=["uid", "line_no"])
-
-    src = records.select("uid", F.col("_source_text").alias("text")).where("text is not null and text <> ''")
-    return src.mapInArrow(run, "uid string, line_no long").dropDuplicates(["uid", "line_no"])
+            h, g, no = [], [], []
+            for x, y, t, f in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), ts := b.column(2).to_pylist(), model.decoder.texts(ts)):
+                found = model.furniture_lines(t, f)
+                h += [x] * len(found)
+                g += [y] * len(found)
+                no += found
+            if no:
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (h, g, no)], names=[*KEY, "line_no"])
+
+    found = texts.where(F.col("kind") == SOURCE).select(*KEY, "text").mapInArrow(run, "h long, g long, line_no long")
+    return corpus.keyed(records, "uid", kinds=(SOURCE,)).dropDuplicates(["uid"]).join(found, KEY).select("uid", "line_no")
 
 
 def main_text(records: DataFrame, lines: DataFrame) -> DataFrame:

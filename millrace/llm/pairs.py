@@ -9,17 +9,20 @@ that unclosed answers have again and again in the corpus; these shapes are count
 
 from __future__ import annotations
 
+import hashlib
 import re
-import zlib
 from collections import Counter
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from . import corpus
 from .arrowtext import batches
+from .corpus import BODY, KEY
 from .langid import LANGUAGES, Identifier
-from .pages import BITS, HAN, bitmaps, body_of, closed, on
+from .pages import HAN, closed
 
 LABEL = re.compile(r"(?:^|\n)[ \t　]*(?:Question\s*[:：]|问题\s*[:：])")
 ANSWER = re.compile(r"(?:Answer\s*[:：]|答案\s*[:：])")
@@ -28,17 +31,21 @@ MARK = re.compile(r"(?:\s*[\[(（【]\s*(?:…+|\.{3,})\s*[\])）】]|…+|\.{3,
 QUOTED = re.compile(r"“[^”]*”|«[^»]*»|„[^“”]*[“”]|\"[^\"]*\"|「[^」]*」|『[^』]*』")
 # Stand-ins for an empty answer.
 NOTHING = {"n/a", "na", "null", "none", "nil", "nan", "undefined", "无", "空", "暂无", "нет данных", "tbd", "(empty)", "[empty]", "(none)", "<null>"}
-# Templates of refusals.
-REFUSALS = """I'm sorry, but I can't help with that.|I cannot provide an answer to this request.|I can't share details about that.|I'm unable to discuss this topic. Please ask something else.|As an AI model I am not able to answer this question.|As a language model, I cannot answer that.|I apologize, but I am not comfortable responding to this.|Unfortunately this is not something I can assist with.|Sorry, I must decline to respond to that.|I won't be able to help with this request.|I am not able to comply with this request.
-抱歉，我无法回答这个问题。|非常抱歉，我不方便提供答案。|作为人工智能模型，我不能提供相关内容。|根据使用规范，我不能作答。|对不起，我不能回答这个问题。|很抱歉，我无法提供帮助。|这个问题我不便回答。|作为一个语言模型，我无法回答该问题。|如有其他问题请告诉我。|对不起，这个请求我没办法协助。
-Es tut mir leid, aber dabei kann ich nicht helfen.|Als KI-Modell kann ich diese Frage nicht beantworten.|Leider darf ich dazu keine Auskunft geben.|Zu diesem Thema kann ich mich nicht äußern.|Ich kann diese Anfrage nicht bearbeiten.|Tut mir leid, das kann ich nicht beantworten.
-Je suis désolé, mais je ne peux pas vous aider.|Désolé, cette demande dépasse ce que je suis autorisé à traiter.|Je ne peux pas répondre à cette question.|En tant que modèle d’IA, je ne peux pas répondre.|Je ne suis pas en mesure de traiter cette demande.
-Lo siento, pero no puedo ayudar con eso.|Como modelo de IA no puedo responder a esta pregunta.|No puedo proporcionar una respuesta a esa solicitud.|Lamentablemente no puedo hablar de este tema.|No estoy autorizado a dar esa información.
-Desculpe, mas não posso ajudar com isso.|Como modelo de IA, não posso responder a esta pergunta.|Infelizmente não posso falar sobre esse assunto.|Não posso fornecer uma resposta a esse pedido.|Não estou autorizado a dar essa informação.
-Извините, но я не могу помочь с этим.|Как модель ИИ, я не могу ответить на этот вопрос.|Я не могу обсуждать эту тему.|К сожалению, я не могу предоставить ответ.|Я не вправе отвечать на этот запрос."""
+# Written templates of refusals; further wordings of the corpus are learnt from there.
+REFUSALS = """Sorry, I can't help with this.|I cannot provide the answer to that request.|I can't give details about this.|I am unable to discuss that. Please ask about something else.|I'm unable to talk about this topic.|As an AI, I am not able to answer that.|As an AI language model, I cannot answer this question.|I'm sorry, but I am not comfortable answering this.|I apologize, but I must decline.|Unfortunately I cannot assist with that.|This is not something I can help with.|I must decline to answer that.|I won't be able to help with this request.|I am not able to comply with this request.|I'm not allowed to share that information.
+抱歉，我不能回答这个问题。|非常抱歉，我无法提供答案。|对不起，我不方便回答。|作为人工智能，我不能提供这方面的内容。|作为人工智能模型，我无法回答。|根据相关规定，我无法作答。|根据使用政策，我不能回答这个问题。|对不起，我不能回答这个问题。|很抱歉，我无法提供帮助。|这个问题我不便回答。|作为一个语言模型，我无法回答该问题。|这个请求我无法协助。|这个我没办法帮忙。
+Es tut mir leid, dabei kann ich Ihnen nicht helfen.|Als KI-Modell kann ich dazu nichts sagen.|Als Sprachmodell kann ich die Frage nicht beantworten.|Leider kann ich dazu keine Angaben machen.|Dazu darf ich keine Auskunft erteilen.|Zu diesem Thema äußere ich mich nicht.|Ich kann diese Anfrage nicht bearbeiten.|Tut mir leid, das kann ich nicht beantworten.
+Désolé, je ne peux pas vous aider.|Je regrette, je ne peux pas aider.|Cette demande dépasse ce que je peux traiter.|Je ne suis pas autorisé à traiter cette demande.|Je ne peux pas répondre à cela.|En tant que modèle d’IA, je ne peux pas répondre.|Je ne suis pas en mesure de répondre à cette question.
+Lo siento, no puedo ayudarle con eso.|Como modelo de lenguaje no puedo responder.|Como modelo de IA no puedo contestar la pregunta.|No puedo proporcionar una respuesta a esa solicitud.|Lamentablemente no puedo hablar de este tema.|No estoy autorizado a dar esa información.
+Desculpe, não posso ajudar com isso.|Como modelo de IA, não posso responder a esta pergunta.|Infelizmente não posso falar sobre esse assunto.|Não posso fornecer uma resposta a esse pedido.|Não estou autorizado a dar essa informação.
+Извините, я не могу помочь с этим.|К сожалению, я не могу с этим помочь.|Как модель ИИ, я не могу ответить.|Я не могу обсуждать этот вопрос.|Я не буду обсуждать эту тему.|К сожалению, я не могу предоставить ответ.|Я не вправе отвечать на этот запрос."""
 #: Times, and share of all unclosed answers, that a shape must have to be that of whole answers.
 LEAST, SHARE = 3, 3e-4
 ALIGNED, COVERED, REFUSED = 0.9, 0.6, 0.55
+#: A sentence of answers without figures that aligns this well with a written template, and stands in so many distinct bodies and this share of them, is one more template; an answer must then be nearly that.
+LIKE, TIMES, OF_BODIES, NEARLY = 0.36, 4, 1e-4, 0.75
+#: Shingles that such a sentence has at least.
+LEAST_SHINGLES = 12
 
 
 def _grams(s: str, k: int = 4) -> set[str]:
@@ -47,7 +54,64 @@ def _grams(s: str, k: int = 4) -> set[str]:
     return {t[i : i + k] for i in range(len(t) - k + 1)}
 
 
-_TEMPLATES = [g for line in REFUSALS.split("\n") for t in line.split("|") if (g := _grams(t))]
+SENTENCE = re.compile(r"[^.!?。！？\n]+[.!?。！？]*")
+
+
+class Refusals:
+    """Aligns the sentences of an answer, and neighbouring ones together, with the written templates and those of the corpus by shingles."""
+
+    def __init__(self, more: list[str] = ()):
+        self.templates = [g for t in re.split(r"[\n|]", REFUSALS) if len(g := _grams(t)) >= 4]
+        self.more = [_grams(t) for t in more]
+        self.every = set().union(*self.templates, *self.more)
+
+    def sentences(self, answer: str) -> list[set[str]]:
+        if len(_grams(answer) & self.every) < 3:
+            return []
+        s = [g for x in SENTENCE.findall(QUOTED.sub(" ", answer)) if (g := _grams(x))]
+        return [g for g in [*s, *(a | b for a, b in zip(s, s[1:]))] if len(g) >= 4 and len(g & self.every) >= 3]
+
+    def aligned(self, answer: str) -> float:
+        """The best share of a sentence's or written template's shingles, whichever are fewer, that the two have in common."""
+        return max((len(g & t) / min(len(g), len(t)) for g in self.sentences(answer) for t in self.templates), default=0.0)
+
+    def __call__(self, answer: str) -> bool:
+        return any(len(g & t) >= REFUSED * min(len(g), len(t)) for g in self.sentences(answer) for t in self.templates) or any(len(g & t) >= NEARLY * max(len(g), len(t)) for g in self.sentences(answer) for t in self.more)
+
+
+@lru_cache(1)
+def written() -> Refusals:
+    return Refusals()
+
+
+def refusals(texts: DataFrame, decoder) -> Refusals:
+    """The written templates, and the sentences that the corpus has for the same: near a template, and in several bodies each.
+
+    At most 1 / OF_BODIES sentences reach the driver, whatever the corpus."""
+
+    def run(it):
+        known: dict[str, bool] = {}
+        for b in batches(it, ["text"], 4 << 20):
+            out = []
+            for c in decoder.texts(b.column(0).to_pylist()):
+                like = set()
+                for _, a in split_pairs(c, None):
+                    for x in SENTENCE.findall(QUOTED.sub(" ", a)):
+                        x = x.strip()
+                        if x not in known:
+                            if len(known) > 50_000:
+                                known.clear()
+                            known[x] = len(_grams(x)) * (2 if HAN.search(x) else 1) >= LEAST_SHINGLES and not re.search(r"\d", x) and written().aligned(x) >= LIKE
+                        if known[x]:
+                            like.add(x)
+                out += like
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(out, pa.string())], names=["s"])
+
+    bodies = texts.where(F.col("kind") == BODY)
+    least = max(TIMES, OF_BODIES * bodies.count())
+    got = bodies.select("text").mapInArrow(run, "s string").groupBy("s").count().where(F.col("count") >= least).orderBy("s").collect()
+    return Refusals([r.s for r in got])
 
 
 def split_pairs(content: str, source: str | None) -> list[tuple[str, str]]:
@@ -87,7 +151,7 @@ def _lcs(a: list[str], b: list[str]) -> int:
 
 def is_copy(stem: str, answer: str) -> bool:
     q, a = tokens(stem), tokens(answer)
-    if not a or not q or len(a) > 4 * len(q) + 8:
+    if not a or not q:
         return False
     qs = set(zip(q, q[1:])) | {(x,) for x in q}
     shingles = list(zip(a, a[1:])) or [(a[0],)]
@@ -107,14 +171,6 @@ def is_copy(stem: str, answer: str) -> bool:
     return _lcs(q, a) >= COVERED * len(q)
 
 
-def is_refusal(answer: str) -> bool:
-    a = _grams(answer)
-    if len(a) < 4:
-        return False
-    head = _grams(answer[:90])
-    return any(len(head & t) >= REFUSED * min(len(head), len(t)) for t in _TEMPLATES)
-
-
 def is_nothing(answer: str) -> bool:
     a = answer.strip(" \t\n　 ​").strip("\"'“”«»[]()").lower().rstrip(".")
     return a in NOTHING or not re.search(r"\w", a)
@@ -129,43 +185,38 @@ def shape(answer: str) -> str:
     return " ".join([*w[:1], *("X" if x[:1].isupper() or x[:1] in "“«\"" else x for x in w[1:])])
 
 
-def bucket(key: str) -> int:
-    return zlib.crc32(key.encode()) & ((1 << BITS) - 1)
+def key64(key: str) -> int:
+    return int.from_bytes(hashlib.blake2b(key.encode(), digest_size=8).digest(), "little", signed=True)
 
 
-def frequent(df: DataFrame, column: str, least: int, share: float) -> np.ndarray:
-    """One bit per bucket of `column` whose `n` adds up to `least` and to `share` of all: 2 MB for any corpus."""
-    n = df.groupBy(column).agg(F.sum("n").alias("n")).persist()
-    total = n.agg(F.sum("n").alias("s")).first()["s"] or 0
-    bits = bitmaps(n.where(F.col("n") >= max(least, share * total)), column, {"on": F.lit(True)})["on"]
-    n.unpersist()
-    return bits
+def usual(counts: DataFrame, least: int, share: float) -> frozenset[int]:
+    """The keys of (key, n) that make up at least `least` and at least `share` of all: 1 / share of them at most, or 1 / (least * share) where there are few."""
+    total = counts.agg(F.sum("n").alias("s")).first()["s"] or 0
+    return frozenset(r.key for r in counts.where(F.col("n") >= max(least, share * total)).select("key").collect())
 
 
 def open_shapes(body: str) -> list[int]:
-    """Buckets of the shapes of the answers that aren't closed, empty or marked as cut."""
-    return [bucket(shape(a)) for _, a in split_pairs(body, None) if not is_nothing(a) and not closed(a) and not MARK.search(a)]
+    """Keys of the shapes of the answers that aren't closed, empty or marked as cut."""
+    return [key64(shape(a)) for _, a in split_pairs(body, None) if not is_nothing(a) and not closed(a) and not MARK.search(a)]
 
 
-def open_answers(records: DataFrame, decoder) -> DataFrame:
-    """(b, h, n): the bucket of the shape of every answer that isn't closed, empty, or marked as cut, and its answers in the body with the digest h.
-
-    A body counts once, however many records and deliveries hold it: copies of one cut answer don't make its shape a usual one."""
+def open_answers(texts: DataFrame, decoder) -> DataFrame:
+    """(key, n): the shape of every answer that isn't closed, empty, or marked as cut, and how many there are, each distinct body counting once:
+    copies of one cut answer don't make its shape a usual one."""
 
     def run(it):
-        for b in batches(it, ["body"], 4 << 20):
-            out = Counter((k, h) for h, c in zip(b.column(1).to_pylist(), decoder.texts(b.column(0).to_pylist())) for k in open_shapes(c))
-            once = Counter(b.column(1).to_pylist())
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in out], pa.int32()), pa.array([h for _, h in out], pa.int64()), pa.array([n // once[h] for (_, h), n in out.items()], pa.int64())], names=["b", "h", "n"])
+        out: Counter = Counter()
+        for b in batches(it, ["text"], 4 << 20):
+            for c in decoder.texts(b.column(0).to_pylist()):
+                out.update(open_shapes(c))
+        yield pa.RecordBatch.from_arrays([pa.array(list(out), pa.int64()), pa.array(list(out.values()), pa.int64())], names=["key", "n"])
 
-    bodies = records.where("style = 'qa' and content is not null").select(body_of().alias("body")).select("body", F.xxhash64("body").alias("h"))
-    return bodies.mapInArrow(run, "b int, h long, n long").groupBy("b", "h").agg(F.max("n").alias("n"))
+    return texts.where(F.col("kind") == BODY).select("text").mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
 
 
 class PairModel:
-    def __init__(self, identifier: Identifier, shapes: np.ndarray):
-        self.identifier, self.shapes = identifier, shapes
+    def __init__(self, identifier: Identifier, shapes: frozenset[int], is_refusal: Refusals):
+        self.identifier, self.shapes, self.is_refusal = identifier, shapes, is_refusal
 
     def is_truncated(self, question: str, answer: str) -> bool:
         a = answer.strip()
@@ -179,7 +230,7 @@ class PairModel:
             return True
         if any(bare == o.strip().lower() or a.lower() == o.strip().lower() for o in options) or re.fullmatch(r"[A-FＡ-Ｆ]", a):
             return False
-        return not on(self.shapes, bucket(shape(a)))
+        return key64(shape(a)) not in self.shapes
 
     def defects(self, pairs: list[tuple[str, str]], record: list[int] | None = None) -> list[str | None]:
         """The defect of each pair, or None. `record` numbers the record of each pair: its questions together tell their language."""
@@ -191,7 +242,7 @@ class PairModel:
             stems.append(stem)
             if is_nothing(a):
                 out.append("empty_answer")
-            elif is_refusal(a):
+            elif self.is_refusal(a):
                 out.append("refusal")
             elif is_copy(stem, a):
                 out.append("copied_question")
@@ -240,30 +291,30 @@ def _names_only(s: str) -> bool:
     return all(w[:1].isupper() for w in re.findall(r"[^\W\d_]+", s))
 
 
-def defective_pairs(records: DataFrame, model: PairModel, residue=None) -> DataFrame:
+def defective_pairs(records: DataFrame, texts: DataFrame, model: PairModel) -> DataFrame:
     """(uid, pair_no, defect) of every defective pair of the qa records, each with one defect.
 
-    Null and empty contents and contents without a label have no pairs; a record delivered twice has each row once.
-    `residue` is (uid): records whose text is residue, which have no pairs."""
+    Null and empty contents and contents without a label have no pairs; a record delivered twice has each row once. Every distinct body is read once."""
     decoder = model.identifier.decoder
 
     def run(it):
-        for b in batches(it, ["body"], 1 << 20):
-            pairs, uid, no, record = [], [], [], []
-            for r, (u, c) in enumerate(zip(b.column(0).to_pylist(), decoder.texts(b.column(1).to_pylist()))):
+        for b in batches(it, ["text"], 1 << 20):
+            pairs, h, g, no, record = [], [], [], [], []
+            for r, (x, y, c) in enumerate(zip(b.column(0).to_pylist(), b.column(1).to_pylist(), decoder.texts(b.column(2).to_pylist()))):
                 p = split_pairs(c, None)
                 pairs += p
                 record += [r] * len(p)
-                uid += [u] * len(p)
+                h += [x] * len(p)
+                g += [y] * len(p)
                 no += range(1, len(p) + 1)
             d = model.defects(pairs, record)
             keep = [i for i, x in enumerate(d) if x]
             if keep:
-                yield pa.RecordBatch.from_arrays([pa.array([uid[i] for i in keep], pa.string()), pa.array([no[i] for i in keep], pa.int64()), pa.array([d[i] for i in keep])], names=["uid", "pair_no", "defect"])
+                yield pa.RecordBatch.from_arrays([*[pa.array([c[i] for i in keep], pa.int64()) for c in (h, g, no)], pa.array([d[i] for i in keep])], names=[*KEY, "pair_no", "defect"])
 
-    out = records.where("style = 'qa' and content is not null").select("uid", body_of().alias("body")).mapInArrow(run, "uid string, pair_no long, defect string").dropDuplicates(["uid", "pair_no"])
-    return out if residue is None else out.join(residue, "uid", "left_anti")
+    found = texts.where(F.col("kind") == BODY).select(*KEY, "text").mapInArrow(run, "h long, g long, pair_no long, defect string")
+    return corpus.keyed(records, "uid", kinds=(BODY,)).dropDuplicates(["uid"]).join(found, KEY).select("uid", "pair_no", "defect")
 
 
-def pair_model(records: DataFrame, identifier: Identifier) -> PairModel:
-    return PairModel(identifier, frequent(open_answers(records, identifier.decoder), "b", LEAST, SHARE))
+def pair_model(texts: DataFrame, identifier: Identifier) -> PairModel:
+    return PairModel(identifier, usual(open_answers(texts, identifier.decoder), LEAST, SHARE), refusals(texts, identifier.decoder))

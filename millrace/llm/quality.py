@@ -1,36 +1,38 @@
 """Problem 4: text figures per document, and prose told from lists, tables and junk.
 
-Method: each value gets its figures (words, word length, lines, symbols, line ends, common words, shares of
+Method: each text gets its figures (words, word length, lines, symbols, line ends, common words, shares of
 item and row lines, repetition, sense under the bigram model), page furniture left aside. A Gaussian mixture is
-fitted by expectation-maximization on the standardized figures of all values: they are counted on a fixed grid
-first, so the driver gets a bounded number of weighted cells whatever the corpus. The components get their
-kind from the inspected examples below. Wrongly decoded lines are restored before; values that are template
-residue are no cases.
+fitted by expectation-maximization on the standardized figures of all distinct texts; its E step runs where the rows are, and only
+sums per component reach the driver. The components start at the inspected examples below and get their kind from
+them. Wrongly decoded lines are restored before; values that are template residue are no cases.
 """
 
 from __future__ import annotations
 
+import math
 import re
-from collections import Counter
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from . import corpus
 from .arrowtext import batches
 from .codepages import LOST, Decoder
+from .corpus import KEY, REWRITE, SOURCE
 from .langid import letters
 from .pages import HAN, MARKER, LineModel, cells, closed, data_row, weight
 
 KINDS = ["prose", "list", "table", "junk"]
-FEATURES = ["item_share", "row_share", "closed_share", "sense", "variety"]
-#: Grid of the counts: least, step and highest of each feature.
-# Beyond its ends a feature tells nothing more: any sense over -3 is language, and pieces of which three in ten are distinct are no scrap.
-GRID = np.array([(0, 0.05, 1), (0, 0.05, 1), (0, 0.05, 1), (-5, 0.2, -3), (0, 0.05, 0.3)])
-#: Components besides those that start at an example.
-COMPONENTS = 4
-#: Common words kept per fit, from the bounded sample of the bigram model.
-COMMON = 400
+FEATURES = ["item_share", "row_share", "closed_share", "sense", "variety", "log_words", "mean_word_length", "symbol_ratio", "common_word_share", "closed_line_share"]
+#: Ends of the features' ranges. Beyond them a feature tells nothing more: any sense over -3 is language, and pieces of which three in ten are distinct are no scrap.
+RANGE = np.array([(0, 1), (0, 1), (0, 1), (-5, -3), (0, 0.3), (0, 5), (0, 12), (0, 0.3), (0, 0.5), (0, 1)], float)
+#: Rounds of EM at most, and the gain in mean log-likelihood under which it ends.
+ROUNDS, LEAST_GAIN = 25, 1e-3
+#: Share of all texts with whose weight an example holds its component.
+HELD = 0.006
+#: Common words kept: those that most texts hold, of at most so many letters.
+COMMON, LONGEST = 400, 24
 WORDS = re.compile(r"[^\W\d_]+", re.UNICODE)
 #: Signs that rows and items of words and figures hardly have.
 ODD = re.compile(r"[^\w\s|;,.:\"'’“”()«»·/$%°±×、，。：（）《》„•*>–-]", re.UNICODE)
@@ -43,6 +45,12 @@ SIGN = re.compile(r"[^\w\s.,;:!?'\"“”«»„’()，。；：！？、（）
 # Examples that were inspected and named by hand.
 EXAMPLES = {
     "prose": [
+        "磨坊在河边立了许多年。春天水涨的时候，人们把水轮抬起来，打开水闸，好让船只通过。没有人知道是谁付的钱。\n冬天，工人修好了屋顶，又粉刷了大门。据说费用不高，村里的人后来把它保存了很久。",
+        "磨坊在河边立了许多年，冬天修过两次。",
+        "Мельница стояла у реки много лет. Весной, когда вода поднималась, колесо убирали, чтобы лодки могли пройти. Никто не знает, кто заплатил за работу.\nЗимой починили крышу и покрасили двери.",
+        "Le moulin est resté au bord de la rivière pendant des années. Quand l’eau montait au printemps, on levait la roue pour que les bateaux puissent passer. Personne ne sait qui a payé.",
+        "O moinho ficou muitos anos junto ao rio. No inverno consertaram o telhado e pintaram as portas. Ninguém sabe quem pagou a obra.\nA aldeia guardou-o durante muito tempo.",
+        "The mill stood by the river for many years. In winter the men repaired the roof and painted the do",
         "The mill stood by the river for many years. When the water rose in spring, the wheel was lifted and the sluice was opened, so that the boats could pass.\nIn winter the men repaired the roof and painted the doors. Nobody remembers who paid for the work.",
         "Die Mühle stand viele Jahre am Fluss. Als das Wasser im Frühling stieg, wurde das Rad gehoben, damit die Boote vorbeifahren konnten.\nIm Winter wurde das Dach erneuert.",
         "El molino estuvo muchos años junto al río. En invierno se reparó el techo. Se llevaron tres cosas:\n- la rueda\n- dos puertas\nNadie recuerda quién pagó la obra, pero el pueblo la guardó durante mucho tiempo y la mostró a los viajeros que llegaban por el camino de la costa en verano.",
@@ -82,7 +90,7 @@ class Figures:
     """Computes the figures of values; travels with a task."""
 
     def __init__(self, decoder: Decoder, lines: LineModel, common: frozenset[str], full: bool = True):
-        """full: all figures; otherwise only those that tell the kinds apart."""
+        """full: all figures; otherwise only those of the mixture."""
         self.decoder, self.lines, self.common, self.full = decoder, lines, common, full
 
     def one(self, value: str) -> dict[str, float]:
@@ -100,6 +108,7 @@ class Figures:
         return out
 
     def _all_but_sense(self, value: str, text: str) -> tuple[dict[str, float], str]:
+        text = re.sub(LOST + r"+[?？]?", "", text)  # lost characters tell nothing of the kind
         kept = [x for x in text.split("\n") if x.strip() and self.lines.verdict(x) != "furniture"]
         total = sum(weight(x.strip()) for x in kept) or 1
         rows, items, closes, n_closed = 0, 0, 0, 0
@@ -125,16 +134,16 @@ class Figures:
         variety = self._variety(" ".join(bare))
         coded = 3 * len(MIXED.findall(text)) >= len(text.split())
         total = max(total, 1)
-        out = {"item_share": items / total, "row_share": rows / total, "closed_share": closes / total, "variety": variety, "restored": float(text != value or LOST in value)}
+        words = WORDS.findall(text.lower())
+        n_letters = sum(map(len, words))
+        solid = max(len(text) - sum(map(text.count, " \n\t\u3000")), 1)
+        out = {
+            "item_share": items / total, "row_share": rows / total, "closed_share": closes / total, "variety": variety, "restored": float(text != value),
+            "log_words": math.log1p(len(words) if not HAN.search(text) else n_letters / 2) / math.log(10), "mean_word_length": n_letters / len(words) if words else 0.0,
+            "symbol_ratio": len(SIGN.findall(text)) / solid, "common_word_share": sum(w in self.common for w in words) / len(words) if words else 0.0, "closed_line_share": n_closed / max(len(kept), 1),
+        }
         if self.full:
-            words = WORDS.findall(text.lower())
-            n_letters = sum(map(len, words))
-            solid = max(len(text) - sum(map(text.count, " \n\t\u3000")), 1)
-            out |= {
-                "words": float(len(words)), "mean_word_length": n_letters / len(words) if words else 0.0, "lines": float(len(kept)), "symbol_ratio": len(SIGN.findall(text)) / solid, "digit_ratio": len(DIGIT.findall(text)) / solid,
-                "closed_line_share": n_closed / max(len(kept), 1), "common_word_share": sum(w in self.common for w in words) / len(words) if words else 0.0,
-                "han_share": 0.0 if text.isascii() else len(HAN.findall(text)) / solid, "letter_share": n_letters / solid,
-            }
+            out |= {"words": float(len(words)), "lines": float(len(kept)), "digit_ratio": len(DIGIT.findall(text)) / solid, "han_share": 0.0 if text.isascii() else len(HAN.findall(text)) / solid, "letter_share": n_letters / solid}
         return out, "" if coded else "\n".join(bare).replace("\x00", " ")
 
     @staticmethod
@@ -168,73 +177,79 @@ class Figures:
 
 
 KIND = ["restored"]
-ALL = ["words", "mean_word_length", "lines", "symbol_ratio", "digit_ratio", "closed_line_share", "common_word_share", "han_share", "letter_share"]
+ALL = ["words", "lines", "digit_ratio", "han_share", "letter_share"]
 
 
-def common_words(texts: list[str | None]) -> frozenset[str]:
-    """The most common words of a bounded sample, each counted once a text."""
-    c: Counter = Counter()
-    for t in texts:
-        if t:
-            c.update({w.lower() for w in WORDS.findall(t)})
-    return frozenset(w for w, _ in c.most_common(COMMON))
+def common_words(texts: DataFrame) -> frozenset[str]:
+    """The COMMON words that most texts hold, counted over all of them; ties go by the alphabet."""
+    words = F.array_distinct(F.split(F.lower("text"), r"[^\p{L}]+"))
+    n = texts.select(F.explode(words).alias("w")).where(F.length("w").between(1, LONGEST)).groupBy("w").count()
+    return frozenset(r.w for r in n.orderBy(F.desc("count"), "w").limit(COMMON).collect())
 
 
-def figures(records: DataFrame, fig: Figures, rewrites: bool = True) -> DataFrame:
-    """(uid, field, figures ...; restored is 1 for a wrongly decoded value) of every source text and, unless left out, every rewrite. Null, empty and blank values have no row; a record delivered twice has one."""
+def figures(texts: DataFrame, fig: Figures, rewrites: bool = True) -> DataFrame:
+    """(kind_of_text, h, g, figures ...; restored is 1 for a wrongly decoded text) of every distinct source text and, unless left out, every rewrite. Blank ones have no row."""
     names = [*(ALL if fig.full else []), *KIND, *FEATURES]
 
     def run(it):
-        memo: dict[str, tuple] = {}
-        for b in batches(it, ["value"], 1 << 20):
-            values = b.column(2).to_pylist()
-            if len(memo) > 4000:
-                memo.clear()
-            new = [v for v in dict.fromkeys(values) if v not in memo]
-            for v, f in zip(new, fig.many(new)):
-                memo[v] = tuple(f[k] for k in names)
-            out = [memo[v] for v in values]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *[pa.array(x, pa.float64()) for x in zip(*out)]], names=["uid", "field", *names])
-
-    values = records.select("uid", F.explode(F.array(F.struct(F.lit("_source_text").alias("field"), F.col("_source_text").alias("value")), F.struct(F.lit("content").alias("field"), F.when((F.col("style") == "multi_style") & F.lit(rewrites), F.col("content")).alias("value")))).alias("v"))
-    values = values.select("uid", "v.field", "v.value").where(r"value rlike '\\S'")
-    return values.mapInArrow(run, "uid string, field string, " + ", ".join(f"{n} double" for n in names)).dropDuplicates(["uid", "field"])
+        for b in batches(it, ["text"], 1 << 20):
+            found = fig.many(b.column(3).to_pylist())
+            yield pa.RecordBatch.from_arrays([*b.columns[:3], *[pa.array([f[k] for f in found], pa.float64()) for k in names]], names=["kind_of_text", *KEY, *names])
+
+    kinds = [SOURCE, REWRITE] if rewrites else [SOURCE]
+    asked = texts.where(F.col("kind").isin(kinds) & F.col("text").rlike(r"\S")).select("kind", *KEY, "text")
+    return asked.mapInArrow(run, "kind_of_text int, h long, g long, " + ", ".join(f"{n} double" for n in names))
+
+
+def of_records(records: DataFrame, named: DataFrame) -> DataFrame:
+    """(uid, field, figures ...) of the records that hold the texts; a record delivered twice has one row per field."""
+    keys = corpus.keyed(records, "uid", kinds=(SOURCE, REWRITE)).dropDuplicates(["uid", "kind"]).withColumnRenamed("kind", "kind_of_text")
+    field = F.when(F.col("kind_of_text") == SOURCE, F.lit("_source_text")).otherwise(F.lit("content")).alias("field")
+    return keys.join(named, ["kind_of_text", *KEY]).select("uid", field, *[c for c in named.columns if c not in ("kind_of_text", *KEY)])
 
 
 class Mixture:
-    """A Gaussian mixture with diagonal covariances over the standardized grid cells, and the kind of each component."""
+    """A Gaussian mixture with diagonal covariances over the standardized figures, and the kind of each component."""
 
-    def __init__(self, x: np.ndarray, w: np.ndarray, at: np.ndarray, k: int = COMPONENTS, rounds: int = 60, seed: int = 0):
-        w = w / w.sum()
-        self.mean = (x * w[:, None]).sum(axis=0)
-        self.scale = np.sqrt(((x - self.mean) ** 2 * w[:, None]).sum(axis=0)) + 1e-3
-        z = (x - self.mean) / self.scale
-        rng = np.random.default_rng(seed)
-        # the first means are the examples; each further one is drawn by its squared distance, weights counting by their root
-        c = list((np.unique(at, axis=0) - self.mean) / self.scale)
-        for _ in range(k):
-            d = np.min([((z - m) ** 2).sum(axis=1) for m in c], axis=0) * np.sqrt(w)
-            c.append(z[rng.choice(len(z), p=d / d.sum())] if d.sum() > 0 else z[0])
-        self.mu = np.array(c)
+    def __init__(self, mean: np.ndarray, scale: np.ndarray, at: np.ndarray):
+        """Components start at the rows of `at`, the examples."""
+        self.mean, self.scale = mean, scale
+        self.mu = np.unique((at - mean) / scale, axis=0)
         self.var = np.full_like(self.mu, 0.5)
-        self.pi = np.full(len(c), 1 / len(c))
-        for _ in range(rounds):
-            r = self._posterior(z) * w[:, None]
-            n = r.sum(axis=0) + 1e-12
-            self.pi = n / n.sum()
-            self.mu = (r.T @ z) / n[:, None]
-            self.var = np.maximum((r.T @ z**2) / n[:, None] - self.mu**2, 0.02)
+        self.start = np.concatenate([np.ones((len(self.mu), 1)), self.mu, self.mu**2 + 0.25], axis=1)
+        self.pi = np.full(len(self.mu), 1 / len(self.mu))
         self.kind = None
 
-    def _posterior(self, z: np.ndarray) -> np.ndarray:
-        lp = np.log(self.pi + 1e-12) - 0.5 * (((z[:, None, :] - self.mu) ** 2) / self.var + np.log(self.var)).sum(axis=2)
-        p = np.exp(lp - lp.max(axis=1, keepdims=True))
-        return p / p.sum(axis=1, keepdims=True)
+    def expected(self, x: np.ndarray, w: np.ndarray | float = 1.0) -> np.ndarray:
+        """E step over rows x: per component its weight, the sums and the sums of squares of each feature, and in the last row the log-likelihood."""
+        z = (x - self.mean) / self.scale
+        p, like = self._posterior(z)
+        r = p * np.broadcast_to(w, len(z))[:, None]
+        out = np.concatenate([r.sum(axis=0)[:, None], r.T @ z, r.T @ z**2], axis=1)
+        return np.concatenate([out, np.full((1, out.shape[1]), float((like * w).sum()))])
+
+    def maximize(self, s: np.ndarray, held: float) -> None:
+        """M step; each component is held at its example as by `held` texts, so that it doesn't drift to another kind."""
+        k = self.mu.shape[1]
+        s = np.concatenate([s[:-1] + held * self.start, s[-1:]])
+        n = s[:-1, :1] + 1e-9
+        self.pi = (n / n.sum())[:, 0]
+        self.mu = np.where(n > 1e-6, s[:-1, 1 : k + 1] / n, self.mu)
+        self.var = np.where(n > 1e-6, np.maximum(s[:-1, k + 1 :] / n - self.mu**2, 0.02), self.var)
+
+    def _posterior(self, z: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        # a product of matrices: nothing of rows x components x features is ever held
+        inv = 1 / self.var
+        lp = np.log(self.pi + 1e-12) - 0.5 * (z**2 @ inv.T - 2 * z @ (self.mu * inv).T + (self.mu**2 * inv + np.log(self.var)).sum(axis=1))
+        top = lp.max(axis=1, keepdims=True)
+        p = np.exp(lp - top)
+        total = p.sum(axis=1, keepdims=True)
+        return p / total, (top + np.log(total))[:, 0]
 
     def name(self, x: np.ndarray, kinds: list[str]) -> None:
         """Components get the kind of the examples that they explain best, and those without one that of the nearest example."""
         z = (x - self.mean) / self.scale
-        p = self._posterior(z)
+        p, _ = self._posterior(z)
         self.kind = []
         for j in range(len(self.mu)):
             score = {k: sum(p[i, j] for i in range(len(kinds)) if kinds[i] == k) for k in KINDS}
@@ -245,28 +260,52 @@ class Mixture:
 
     def kinds(self, x: np.ndarray) -> tuple[list[str], np.ndarray]:
         """(kind, its posterior) of each row."""
-        p = self._posterior((x - self.mean) / self.scale)
+        p, _ = self._posterior((x - self.mean) / self.scale)
         by = np.stack([p[:, [j for j in range(len(self.kind)) if self.kind[j] == k]].sum(axis=1) for k in KINDS], axis=1)
         return [KINDS[i] for i in by.argmax(axis=1)], by.max(axis=1)
 
 
-def on_grid(x: np.ndarray) -> np.ndarray:
-    lo, step, hi = GRID.T
-    return lo + np.round((np.clip(x, lo, hi) - lo) / step) * step
+def in_range(x: np.ndarray) -> np.ndarray:
+    return np.clip(x, *RANGE.T)
+
+
+def _rows(b: pa.RecordBatch) -> np.ndarray:
+    return in_range(np.stack([np.asarray(b.column(b.schema.get_field_index(c))) for c in FEATURES], axis=1))
 
 
 def fit_mixture(figs: DataFrame, fig: Figures) -> Mixture:
-    """EM over the grid cells of all values and, with the weight of a few values, the examples."""
-    lo, step, hi = GRID.T
-    cell = [F.round((F.least(F.greatest(F.col(c), F.lit(float(a))), F.lit(float(b))) - float(a)) / float(s)).cast("int").alias(c) for c, a, s, b in zip(FEATURES, lo, step, hi)]
-    t = figs.select(*cell).groupBy(*FEATURES).agg(F.count("*").alias("n")).orderBy(*FEATURES).toArrow()  # at most one row a grid cell
-    ex = on_grid(np.array([[fig.one(v)[c] for c in FEATURES] for k in KINDS for v in EXAMPLES[k]]))
+    """EM over the figures of all texts, from the examples.
+
+    The E step of each round runs where the rows are; a task sends its sums (components x features), whatever the corpus."""
+    ex = in_range(np.array([[fig.one(v)[c] for c in FEATURES] for k in KINDS for v in EXAMPLES[k]]))
     names = [k for k in KINDS for _ in EXAMPLES[k]]
-    x = np.stack([np.asarray(t[c]) * s + a for c, a, s in zip(FEATURES, lo, step)], axis=1) if t.num_rows else np.zeros((0, len(FEATURES)))
-    n = np.asarray(t["n"]).astype(float) if t.num_rows else np.zeros(0)
-    m = Mixture(np.concatenate([x, ex]), np.concatenate([n, np.full(len(ex), max(1.0, n.sum() * 0.0002))]), ex)
-    m.name(ex, names)
-    return m
+    x = [F.least(F.greatest(F.col(c), F.lit(float(lo))), F.lit(float(hi))) for c, (lo, hi) in zip(FEATURES, RANGE)]
+    m = figs.agg(F.count("*").alias("n"), *[F.avg(c).alias(f"m{i}") for i, c in enumerate(x)], *[F.stddev_pop(c).alias(f"s{i}") for i, c in enumerate(x)]).first()
+    n = m["n"]
+    mean = np.array([m[f"m{i}"] or 0.0 for i in range(len(FEATURES))])
+    scale = np.array([m[f"s{i}"] or 0.0 for i in range(len(FEATURES))]) + 1e-2
+    mix = Mixture(mean, scale, ex)
+    last = None
+    for _ in range(ROUNDS if n else 0):
+
+        def expect(it, mix=mix):
+            total = np.zeros((len(mix.mu) + 1, 2 * len(FEATURES) + 1))
+            for b in it:
+                if b.num_rows:
+                    total += mix.expected(_rows(b))
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(total.size), pa.int32()), pa.array(total.ravel())], names=["i", "v"])
+
+        got = figs.select(*FEATURES).mapInArrow(expect, "i int, v double").groupBy("i").agg(F.sum("v").alias("v")).toArrow()
+        s = np.zeros((len(mix.mu) + 1) * (2 * len(FEATURES) + 1))
+        s[np.asarray(got["i"])] = np.asarray(got["v"])
+        s = s.reshape(len(mix.mu) + 1, -1)
+        mix.maximize(s, max(1.0, HELD * n))
+        like = s[-1, 0] / n
+        if last is not None and like - last < LEAST_GAIN:
+            break
+        last = like
+    mix.name(ex, names)
+    return mix
 
 
 def named(figs: DataFrame, mixture: Mixture) -> DataFrame:
@@ -276,8 +315,7 @@ def named(figs: DataFrame, mixture: Mixture) -> DataFrame:
     def run(it):
         for b in it:
             if b.num_rows:
-                x = on_grid(np.stack([np.asarray(b.column(b.schema.get_field_index(c))) for c in FEATURES], axis=1))
-                k, p = mixture.kinds(x)
+                k, p = mixture.kinds(_rows(b))
                 yield pa.RecordBatch.from_arrays([*b.columns, pa.array(k), pa.array(p)], names=[*names, "kind", "posterior"])
 
     return figs.mapInArrow(run, figs.withColumn("kind", F.lit("")).withColumn("posterior", F.lit(0.0)).schema)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..cluster import cut, ship, spread
-from . import bpe, codepages, langid, lookalikes, mixing, pages, pairs, quality, residue, truncation
+from . import bpe, codepages, corpus, langid, lookalikes, mixing, pages, pairs, quality, residue, truncation
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,10 +16,16 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spread(df, {"sample_5": "_source_text"}.get(name)) if name in ("sample_5", "documents") else df
 
 
+def _records(spark, sf_dir, kinds=(corpus.SOURCE, corpus.REWRITE, corpus.BODY)) -> tuple[DataFrame, DataFrame]:
+    """(sample_5, its distinct texts)."""
+    t = _table(spark, sf_dir, "sample_5")
+    return t, corpus.texts(t, kinds)
+
+
 def p1_labels(spark, sf_dir):
     """(uid, label, seg_no, lang, confidence) of every source text (seg_no 0) and of its lines in another language."""
-    t = _table(spark, sf_dir, "sample_5")
-    return langid.languages(t, langid.identifier(t))
+    t, texts = _records(spark, sf_dir, (corpus.SOURCE,))
+    return langid.languages(t, texts, langid.identifier(t, texts))
 
 
 def p1_found(spark, sf_dir):
@@ -30,15 +36,14 @@ def p1_found(spark, sf_dir):
 
 
 def _truncation(spark, sf_dir) -> DataFrame:
-    t = _table(spark, sf_dir, "sample_5")
-    ident = langid.Identifier(codepages.fit_on(t), None)  # only its decoder is needed here
-    ends = truncation.endings(t, ident)
-    values = truncation.truncated(cut(truncation.measured(t, ends)))
+    t, texts = _records(spark, sf_dir)
+    ident = langid.Identifier(codepages.fit(texts), None)  # only its decoder is needed here
+    values = truncation.truncated(truncation.measured(t, texts, *truncation.endings(texts, ident)))
     # error pages, script notices and filler end as they end: of the contents found, those with such residue are whole
-    found = cut(values.where("field = 'content' and log_odds > 0").select("uid"))
-    left = residue.residues(t.join(found, "uid", "left_semi"), residue.residue_model(t, ident.decoder), ident.decoder)
+    found = values.where("field = 'content' and log_odds > 0").select("uid")
+    left = residue.residues(t.join(found, "uid", "left_semi"), residue.residue_model(texts), ident.decoder)
     left = left.where("kind <> 'placeholder'").select("uid", F.lit("content").alias("field"), F.lit(True).alias("_left"))
-    return values.join(left, ["uid", "field"], "left").withColumn("log_odds", F.when(F.col("_left"), F.lit(-12.0)).otherwise(F.col("log_odds"))).drop("_left")
+    return values.join(left, ["uid", "field"], "left").withColumn("log_odds", F.when(F.col("_left"), F.lit(truncation.NEVER)).otherwise(F.col("log_odds"))).drop("_left")
 
 
 def p2_values(spark, sf_dir):
@@ -58,47 +63,47 @@ def p2_shares(spark, sf_dir):
 
 def p3_found(spark, sf_dir):
     """(uid, field): values that show characters of a wrong decoding."""
-    return p3_restored(spark, sf_dir).select("uid", "field")
+    t, texts = _records(spark, sf_dir)
+    return codepages.affected(t, texts, codepages.fit(texts)).select("uid", "field")
 
 
 def p3_restored(spark, sf_dir):
     """(uid, source, field, swap, gain, restored, lost): the affected values and their text as it was, where that is possible."""
-    t = _table(spark, sf_dir, "sample_5")
-    return codepages.garbled(t, codepages.fit_on(t))
+    t, texts = _records(spark, sf_dir)
+    return codepages.garbled(t, texts, codepages.fit(texts))
 
 
-def _named_figures(t: DataFrame, decoder, lines, rewrites: bool, full: bool = False) -> DataFrame:
-    sample = codepages.sample_rows(t, ["_source_text"])["_source_text"].to_pylist()
-    fig = quality.Figures(decoder, lines, quality.common_words(sample), full)
-    figs = cut(quality.figures(t, fig, rewrites))
+def _named_figures(texts: DataFrame, decoder, lines, rewrites: bool, full: bool = False) -> DataFrame:
+    fig = quality.Figures(decoder, lines, quality.common_words(texts), full)
+    figs = cut(quality.figures(texts, fig, rewrites))
     return quality.named(figs, quality.fit_mixture(figs, fig))
 
 
 def p4_figures(spark, sf_dir):
     """(uid, field, the figures, kind, posterior) of every source text and rewrite."""
-    t = _table(spark, sf_dir, "sample_5")
-    decoder = codepages.fit_on(t)
-    return _named_figures(t, decoder, pages.line_model(t, decoder), True, full=True)
+    t, texts = _records(spark, sf_dir, (corpus.SOURCE, corpus.REWRITE))
+    decoder = codepages.fit(texts)
+    return quality.of_records(t, _named_figures(texts, decoder, pages.line_model(texts, decoder), True, full=True))
 
 
 def p4_found(spark, sf_dir):
     """(uid, field, kind): values that are a list, a table or junk; template residue and wrongly decoded prose are none."""
-    t = _table(spark, sf_dir, "sample_5")
-    decoder = codepages.fit_on(t)
-    found = _named_figures(t, decoder, pages.line_model(t, decoder), True).where("kind <> 'prose' and not (kind = 'junk' and restored > 0)")
-    found = cut(found.select("uid", "field", "kind"))
-    asked = t.where("style = 'multi_style'").join(found.where("field = 'content'").select("uid"), "uid", "left_semi")
-    left = residue.residues(asked, residue.residue_model(t, decoder), decoder).select("uid", F.lit("content").alias("field"))
+    t, texts = _records(spark, sf_dir, (corpus.SOURCE, corpus.REWRITE))
+    decoder = codepages.fit(texts)
+    named = _named_figures(texts, decoder, pages.line_model(texts, decoder), True).where("kind <> 'prose' and not (kind = 'junk' and restored > 0)")
+    found = cut(quality.of_records(t, named).select("uid", "field", "kind"))
+    asked = t.where("style <> 'qa'").join(found.where("field = 'content'").select("uid"), "uid", "left_semi")
+    left = residue.residues(asked, residue.residue_model(texts), decoder).select("uid", F.lit("content").alias("field"))
     return found.join(left, ["uid", "field"], "left_anti")
 
 
 def p5_found(spark, sf_dir):
     """(uid, line_no): lines of page furniture in source texts that are prose."""
-    t = _table(spark, sf_dir, "sample_5")
-    decoder = codepages.fit_on(t)
-    lines = pages.line_model(t, decoder)
-    other = _named_figures(t, decoder, lines, False).where("kind <> 'prose'").select("uid")
-    return pages.furniture(t, lines).join(other, "uid", "left_anti")
+    t, texts = _records(spark, sf_dir, (corpus.SOURCE, corpus.REWRITE))
+    decoder = codepages.fit(texts)
+    lines = pages.line_model(texts, decoder)
+    other = _named_figures(texts, decoder, lines, False).where("kind <> 'prose'").select(*corpus.KEY)
+    return pages.furniture(t, texts.where(F.col("kind") == corpus.SOURCE).join(other, corpus.KEY, "left_anti"), lines)
 
 
 def p5_main_text(spark, sf_dir):
@@ -108,16 +113,17 @@ def p5_main_text(spark, sf_dir):
 
 def p6_found(spark, sf_dir):
     """(uid, kind): records whose content is or holds template residue, filler, an error page or a script notice."""
-    t = _table(spark, sf_dir, "sample_5")
-    decoder = codepages.fit_on(t)
-    return residue.residues(t, residue.residue_model(t, decoder), decoder)
+    t, texts = _records(spark, sf_dir)
+    return residue.residues(t, residue.residue_model(texts), codepages.fit(texts))
 
 
 def p7_found(spark, sf_dir):
     """(uid, pair_no, defect): defective question-answer pairs; records with residue in place of their text have none."""
-    t = _table(spark, sf_dir, "sample_5")
-    ident = langid.identifier(t)
-    return pairs.defective_pairs(t, pairs.pair_model(t, ident))
+    t, texts = _records(spark, sf_dir)
+    ident = langid.identifier(t, texts)
+    found = cut(pairs.defective_pairs(t, texts, pairs.pair_model(texts, ident)))
+    left = residue.residues(t.where("style = 'qa'").join(found.select("uid").distinct(), "uid", "left_semi"), residue.residue_model(texts), ident.decoder)
+    return found.join(left.where("kind <> 'placeholder'"), "uid", "left_anti")
 
 
 def p8_ids(spark, sf_dir):

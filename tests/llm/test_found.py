@@ -4,7 +4,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from millrace.llm import codepages as C, langid, pages, pairs, quality, residue, truncation
+from millrace.llm import codepages as C, corpus, langid, pages, pairs, quality, residue, truncation
 
 DIR = "/root/testdata/sf0.01"
 
@@ -15,8 +15,25 @@ def records(spark):
 
 
 @pytest.fixture(scope="session")
-def ident(records):
-    return langid.identifier(records)
+def texts(records):
+    return corpus.texts(records)
+
+
+@pytest.fixture(scope="session")
+def ident(records, texts):
+    return langid.identifier(records, texts)
+
+
+def records_of(spark, rows, columns):
+    """Rows as records of both styles: the columns that are missing are null, `style` is a rewrite."""
+    d = spark.createDataFrame(rows, ", ".join(f"{c} string" for c in columns))
+    for c in ("uid", "source", "lang", "_source_text", "content"):
+        d = d if c in d.columns else d.selectExpr("*", f"cast(null as string) as {c}")
+    return d if "style" in d.columns else d.selectExpr("*", "'multi_style' as style")
+
+
+def pairs_model(d, ident):
+    return pairs.pair_model(corpus.texts(d), ident)
 
 
 @pytest.fixture(scope="session")
@@ -59,10 +76,47 @@ def test_clean_lines_stay(clean, decoder):
 def test_garbled_rows(spark, decoder):
     good = "Le musée local a décrit l’entrepôt de sel près de la porte est."
     rows = [("a", "s", good, None), ("b", "s", good.encode().decode("cp1252", "replace"), good), ("b", "s", good.encode().decode("cp1252", "replace"), good), ("c", None, None, "caf� noir"), ("d", "s", "", " ")]
-    d = spark.createDataFrame(rows, "uid string, source string, _source_text string, content string")
-    got = {(r.uid, r.field): r for r in C.garbled(d, decoder).collect()}
-    assert set(got) == {("b", "_source_text"), ("c", "content")} and got["c", "content"].swap is None
-    assert C.garbled(d.limit(0), decoder).count() == 0
+    d = records_of(spark, rows, ["uid", "source", "_source_text", "content"])
+    got = {(r.uid, r.field): r for r in C.garbled(d, corpus.texts(d), decoder).collect()}
+    assert set(got) == {("b", "_source_text"), ("c", "content")} and got["c", "content"].swap is None and got["b", "_source_text"].restored == good
+    assert C.garbled(d.limit(0), corpus.texts(d.limit(0)), decoder).count() == 0
+
+
+def test_garbled_content_includes_its_source_text(spark, decoder):
+    good = "Le musée local a décrit l’entrepôt de sel près de la porte est."
+    bad, tail = good.encode().decode("cp1252", "replace"), "\n\nQuestion: Why? Answer: It was sold."
+    d = records_of(spark, [("a", "qa", bad, bad + tail), ("b", "qa", "Other.", bad + tail)], ["uid", "style", "_source_text", "content"])
+    got = {(r.uid, r.field): r.restored for r in C.garbled(d, corpus.texts(d), decoder).collect()}
+    assert got == {("a", "_source_text"): good, ("a", "content"): good + tail, ("b", "content"): good + tail}
+
+
+def test_a_page_of_no_list_is_learnt(spark, records, decoder):
+    """Russian texts in a page that no table knows: a byte mapping shaken at random, shown in Greek and Armenian letters."""
+    import random
+
+    lines = sorted({x for r in records.where("lang in ('ru', 'RU', 'rus')").select("_source_text").collect() if r[0] for x in r[0].split("\n") if len(x) > 60 and 2 * sum("а" <= c <= "я" for c in x) > len(x) and not decoder.is_suspicious(x)})[:150]
+    small = [chr(c) for c in range(0x430, 0x450)]
+    shown = [chr(c) for c in range(0x561, 0x561 + 32)]
+    random.Random(3).shuffle(shown)
+    table = {ord(a): b for a, b in zip(small, shown)}
+    rows = [(f"u{i}", f"s{i % 2}", "multi_style", x.lower().translate(table)) for i, x in enumerate(lines)]
+    d = records_of(spark, rows, ["uid", "source", "style", "_source_text"])
+    got = {r.uid: r for r in C.garbled(d, corpus.texts(d), decoder).collect()}
+    right = sum(a == b for i, x in enumerate(lines) if f"u{i}" in got for a, b in zip(got[f"u{i}"].restored, x.lower()))
+    assert len(got) >= 0.95 * len(lines) and right >= 0.9 * sum(map(len, lines)), (len(got), len(lines), right / sum(map(len, lines)))
+
+
+@pytest.mark.parametrize("name", ["p1_found", "p2_found", "p3_found", "p4_found", "p5_found", "p6_found", "p7_found"])
+def test_layout_changes_nothing(spark, records, tmp_path, name):
+    """One file, and files that scatter the copies of a text, give the same rows."""
+    from millrace.llm import queries
+
+    want = None
+    for i, d in enumerate((records.coalesce(1), records.repartition(9, "row_id"))):
+        d.write.mode("overwrite").parquet(f"{tmp_path}/{i}/sample_5.parquet")
+        got = sorted(map(tuple, queries.queries()[name](spark, f"{tmp_path}/{i}").collect()))
+        want = want or got
+        assert got == want and len(got) == len(set(got)) > 0
 
 
 def test_labels():
@@ -94,14 +148,14 @@ def test_segments_and_unreadable(spark, ident):
     en = "The river council repaired the old stone wharf before the harvest of that year.\nNobody knows who financed the glass roof of the old observatory."
     mixed = en + "\nDas Landesarchiv ordnete nach der langen Dürre eine Sammlung von Samen und Karten.\n据石渡介绍，铜矿在东门附近记录了两艘破损的船。"
     rows = [("a", "en", mixed), ("a", "en", mixed), ("b", "", en), ("c", "en", None), ("d", "en", ""), ("e", "en", "zz. " * 60), ("f", "en", "d393 4153 3abb 5f1c 390f e278 2d26 484b")]
-    d = spark.createDataFrame(rows, "uid string, lang string, _source_text string")
-    got = sorted((r.uid, r.seg_no, r.lang) for r in langid.languages(d, ident).collect())
+    d = records_of(spark, rows, ["uid", "lang", "_source_text"])
+    got = sorted((r.uid, r.seg_no, r.lang) for r in langid.languages(d, corpus.texts(d), ident).collect())
     assert got == [("a", 0, "en"), ("a", 3, "de"), ("a", 4, "zh"), ("b", 0, "en")]
 
 
 @pytest.fixture(scope="session")
-def lines(records, decoder):
-    return pages.line_model(records, decoder)
+def lines(texts, decoder):
+    return pages.line_model(texts, decoder)
 
 
 def test_furniture(lines):
@@ -115,31 +169,40 @@ def test_furniture(lines):
 def test_scattered_copies_of_a_text_count_once(spark, decoder):
     text = "The stone wharf was sold to the river council.\nPhoto: Larby archive"
     d = spark.createDataFrame([(f"u{i}", "multi_style", text, "A rewrite.") for i in range(24)], "uid string, style string, _source_text string, content string").repartition(6)
-    got = pages.path_statistics(d, decoder).agg({"texts": "max", "rewrites": "max"}).first()
+    got = pages.path_statistics(corpus.texts(d), decoder).agg({"texts": "max", "rewrites": "max"}).first()
     assert tuple(got) == (1, 1)
 
 
 def test_furniture_rows(spark, lines):
-    d = spark.createDataFrame([("a", "Home\nContact\nAbout us\n" + "Long body text of the page goes on here. " * 6), ("b", None), ("c", "")], "uid string, _source_text string")
-    f = pages.furniture(d.unionByName(d), lines)
+    d = records_of(spark, [("a", "Home\nContact\nAbout us\n" + "Long body text of the page goes on here. " * 6), ("b", None), ("c", "")], ["uid", "_source_text"])
+    f = pages.furniture(d.unionByName(d), corpus.texts(d), lines)
     assert {r.uid for r in f.collect()} <= {"a"} and f.count() == f.distinct().count()
     m = {r.uid: r for r in pages.main_text(d, f).collect()}
     assert m["c"].main_text == "" and m["c"].dropped_lines == [] and "Long body" in m["a"].main_text
 
 
-def test_kinds(records, decoder, lines):
+def test_kinds(spark, decoder, lines):
     fig = quality.Figures(decoder, lines, frozenset(["the"]))
     f = [fig.one(v) for k in quality.KINDS for v in quality.EXAMPLES[k]]
     names = [k for k in quality.KINDS for _ in quality.EXAMPLES[k]]
-    x = quality.on_grid(np.array([[a[c] for c in quality.FEATURES] for a in f]))
-    m = quality.Mixture(x, np.ones(len(x)), x)
-    m.name(x, names)
+    m = quality.fit_mixture(spark.createDataFrame([tuple(float(a[c]) for c in quality.FEATURES) for a in f], quality.FEATURES), fig)
+    x = quality.in_range(np.array([[a[c] for c in quality.FEATURES] for a in f]))
     assert np.mean([a == b for a, b in zip(m.kinds(x)[0], names)]) > 0.9
     assert fig.one("")["words"] == 0 and fig.one(" \n ")["lines"] == 0 and fig.one("a b. " * 40000)["words"] == 80000
 
 
-def test_residue(records, decoder):
-    m = residue.residue_model(records, decoder)
+def test_e_step_against_loops():
+    rng = np.random.default_rng(1)
+    x, at = rng.random((40, 10)), rng.random((3, 10))
+    m = quality.Mixture(x.mean(axis=0), x.std(axis=0), at)
+    z = (x - m.mean) / m.scale
+    dens = np.array([[m.pi[k] * np.prod(np.exp(-0.5 * (r - m.mu[k]) ** 2 / m.var[k]) / np.sqrt(m.var[k])) for k in range(3)] for r in z])
+    post = dens / dens.sum(axis=1, keepdims=True)
+    assert np.allclose(m._posterior(z)[0], post) and np.allclose(m.expected(x)[:-1, 0], post.sum(axis=0)) and np.allclose(m.expected(x)[:-1, 1:11], post.T @ z)
+
+
+def test_residue(texts):
+    m = residue.residue_model(texts)
     prose = "The river council repaired the old stone wharf before the harvest. Nobody knows who financed the glass roof of the old observatory, but the ferry crew sold it. "
     cases = {
         None: [prose, prose + "The course explains how JavaScript runs in a browser.", prose + "In the notation {a, b, c} the braces hold a set [2].", prose + "The ticket cost $4 [sic], the sign read <closed>.", "", None],
@@ -152,14 +215,14 @@ def test_residue(records, decoder):
         assert m.kinds(pa.array(values, pa.string())) == [kind] * len(values), kind
 
 
-def test_residue_rows(spark, records, decoder):
-    m = residue.residue_model(records, decoder)
+def test_residue_rows(spark, texts, decoder):
+    m = residue.residue_model(texts)
     d = spark.createDataFrame([("a", "Please enable JavaScript to view this page."), ("a", "Please enable JavaScript to view this page."), ("b", None), ("c", "")], "uid string, content string")
     assert [tuple(r) for r in residue.residues(d, m, decoder).collect()] == [("a", "script_notice")]
 
 
-def test_split_and_defects(records, ident):
-    m = pairs.pair_model(records, ident)
+def test_split_and_defects(texts, ident):
+    m = pairs.pair_model(texts, ident)
     q = "Why is the town clock mentioned?"
     cases = [
         ((q, ""), "empty_answer"), ((q, "N/A"), "empty_answer"), ((q, " — "), "empty_answer"), ((q, "..."), "empty_answer"),
@@ -191,21 +254,20 @@ def test_lcs_against_brute_force():
         assert pairs._lcs(a, b) == brute(a, b)
 
 
-def test_pair_rows(spark, records, ident):
-    m = pairs.pair_model(records, ident)
+def test_pair_rows(spark, texts, ident):
+    m = pairs.pair_model(texts, ident)
     rows = [("a", "qa", "S.\n\nQuestion: Why? Answer: N/A", "S."), ("a", "qa", "S.\n\nQuestion: Why? Answer: N/A", "S."), ("b", "qa", None, "S."), ("c", "qa", "no pairs", None), ("d", "multi_style", "Question: x Answer: ", None)]
     d = spark.createDataFrame(rows, "uid string, style string, content string, _source_text string")
-    assert [tuple(r) for r in pairs.defective_pairs(d, m).collect()] == [("a", 1, "empty_answer")]
+    assert [tuple(r) for r in pairs.defective_pairs(d, corpus.texts(d), m).collect()] == [("a", 1, "empty_answer")]
 
 
 def test_copies_of_a_cut_answer_count_once(spark, ident):
     body = "Question: Why? Answer: Because the ferry crew of Larby quietly bor"
     rows = [(f"c{i}", "qa", body, None) for i in range(40)] + [(f"r{i}", "qa", f"Question: How many {i}? Answer: 7 boats\n\nQuestion: And {i}? Answer: 8 boats", None) for i in range(3)]
     d = spark.createDataFrame(rows, "uid string, style string, content string, _source_text string").repartition(4)
-    got = {tuple(r) for r in pairs.defective_pairs(d, pairs.pair_model(d, ident)).collect()}
+    got = {tuple(r) for r in pairs.defective_pairs(d, corpus.texts(d), pairs_model(d, ident)).collect()}
     assert got == {(f"c{i}", 1, "truncated_answer") for i in range(40)}
-    n = pairs.open_answers(d, ident.decoder).groupBy("b").sum("n").collect()
-    assert sorted(r[1] for r in n) == [1, 6]
+    assert sorted(r.n for r in pairs.open_answers(corpus.texts(d), ident.decoder).collect()) == [1, 6]
 
 
 def test_censored_fit_finds_limits():
@@ -227,37 +289,47 @@ def test_neighbours_check_the_curve_at_every_size():
 def test_strong_limit_outweighs_a_known_ending(spark):
     rng = np.random.default_rng(5)
     whole = np.exp(rng.normal(6.0, 0.4, 1500)).astype(int)
-    rows = [(f"w{i}", "s", "content", int(n), int(n), i, "closed") for i, n in enumerate(whole) if n != 900]
+    rows = [(f"w{i}", "s", "content", int(n), int(n), i, "known" if i % 40 == 0 else "closed") for i, n in enumerate(whole) if n != 900]
     rows += [(f"c{i}", "s", "content", 900, 900, 10_000 + i, "open" if i else "known") for i in range(150)] + [("k", "s", "content", 700, 700, 20_000, "known")]
     v = truncation.truncated(spark.createDataFrame(rows, "uid string, source string, field string, chars int, bytes int, h long, ending string"))
     got = {r.uid for r in v.where("log_odds > 0").collect()}
-    assert "c0" in got and "k" not in got and len(got) == 150
+    assert got == {f"c{i}" for i in range(150)}
+
+
+def test_limits_overrule_known_endings():
+    rows = [("known", 0.0, 300), ("known", 0.99, 20), ("open", 0.99, 400), ("open", 0.0, 100), ("short_unknown", 0.99, 60), ("short_unknown", 0.0, 25)]
+    ratio, base = truncation.learn_ratios([e for e, _, _ in rows], np.array([p for _, p, _ in rows]), np.array([float(n) for *_, n in rows]))
+    assert ratio["known"] + np.log(0.999 / 0.001) > 0 > ratio["known"] + base and ratio["open"] + base > 0
+
+
+@pytest.fixture(scope="session")
+def ends(texts, ident):
+    return truncation.endings(texts, ident)
 
 
-def test_whole_open_answers_leave_room_for_a_limit(records, ident):
-    e = truncation.endings(records, ident)
+def test_whole_open_answers_leave_room_for_a_limit(ends):
+    e, _ = ends
     options = "Question: Which?\nA. the mill\nB. the kiln\nAnswer: "
     assert e.of_pairs(options + "B. the kiln") == "known" and e.of_pairs(options + "B. the kiln.") == "closed"
 
 
-def test_endings(records, ident):
-    e = truncation.endings(records, ident)
+def test_endings(ends):
+    e, _ = ends
     body = "The river council repaired the old stone wharf before the harvest of that year. Nobody knows who financed the glass roof. "
     want = {"closed": [body, body + "\n\n", ""], "open": [body + "After the long drought the choir of Larby sold the ol"], "mark": [body + "After the long drou…", body + "After [...]"], "junk": ["zz " * 50]}
     for kind, values in want.items():
-        assert [e.of_text(v) for v in values] == [kind] * len(values)
-    assert e.of_text(body + "\nBack to top") == "known" and e.of_pairs("Question: a? Answer: It was sol") == "open" and e.of_pairs("Question: a? Answer: It was sold.") == "closed"
+        assert [e.of_text(v)[0] for v in values] == [kind] * len(values)
+    assert e.of_text(body + "\nBack to top")[0] == "known" and e.of_pairs("Question: a? Answer: It was sol") == "open" and e.of_pairs("Question: a? Answer: It was sold.") == "closed"
 
 
-def test_truncated_rows(spark, records, ident):
-    e = truncation.endings(records, ident)
+def test_truncated_rows(spark, ends):
     cut = "The river council repaired the old stone wharf. After the long drought the choir of Larby sold the ol"
     rows = [("a", "s", "multi_style", "Fine.", cut), ("a", "s", "multi_style", "Fine.", cut), ("b", None, "qa", "S.\n\nQuestion: a? Answer: It was sol", "S."), ("c", "s", "qa", None, ""), ("d", "s", "multi_style", " ", None)]
     d = spark.createDataFrame(rows, "uid string, source string, style string, content string, _source_text string")
-    v = truncation.truncated(truncation.measured(d, e))
+    v = truncation.truncated(truncation.measured(d, corpus.texts(d), *ends))
     assert sorted((r.uid, r.field) for r in v.where("log_odds > 0").collect()) == [("a", "_source_text"), ("b", "content")]
     assert {r.source: r.cut for r in truncation.cut_shares(v).collect()} == {"s": 1, "": 0}
-    assert truncation.truncated(truncation.measured(d.limit(0), e)).count() == 0
+    assert truncation.truncated(truncation.measured(d.limit(0), corpus.texts(d.limit(0)), *ends)).count() == 0
 
 
 def test_every_query_runs(spark):
