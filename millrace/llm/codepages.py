@@ -140,11 +140,11 @@ class _OneByte:
         if shown == "cp1252":
             self.table |= {b: t[b] for b in range(0x80, 0xA0)}
 
-    def __call__(self, s: str) -> str:
-        high = len(s) - len(s.encode("ascii", "ignore"))
+    def __call__(self, s: str, high: int | None = None) -> str:
+        high = len(s) - len(s.encode("ascii", "ignore")) if high is None else high
         # a Cyrillic text is mostly above ASCII, a Latin one hardly
-        fits = 5 * high >= 2 * (len(s) - s.count(" ")) if self.cyrillic else 4 * high <= len(s)
-        return s.translate(self.table) if high >= LEAST_LETTERS and fits else s
+        fits = high >= LEAST_LETTERS and (5 * high >= 2 * (len(s) - s.count(" ")) if self.cyrillic else 4 * high <= len(s))
+        return s.translate(self.table) if fits else s
 
 
 @lru_cache(1)
@@ -299,12 +299,14 @@ class Decoder:
 
     def gains(self, s: str, least: float | None = None) -> list[tuple[int, float, str]]:
         """(swap, gain in log-probability, decoded) of every swap that gains. A decoded text with fewer characters has fewer factors, so gains are compared per shown character with a floor per saved one."""
-        base = self.lm.total(s)
+        base = None
+        high = len(s) - len(s.encode("ascii", "ignore"))
         out = []
         for k, f in enumerate(swaps()):
-            t = f(s)
+            t = f(s, high) if isinstance(f, _OneByte) else f(s)
             if t == s:
                 continue
+            base = self.lm.total(s) if base is None else base
             saved = len(s) - len(t)
             g = self.lm.total(t) - base - 2.0 * saved - 6.0 * (t.count(LOST) - s.count(LOST) if LOST in t else 0)
             if g > (self.least if least is None else least):
@@ -392,24 +394,28 @@ def _tried(lm: Bigrams, col) -> list[str]:
     if len(cps) < 2 or not (cps > 127).any():
         return []
     cps = np.minimum(cps, TOP - 1)
-    start = np.zeros(len(cps), np.bool_)
-    start[offs[:-1][offs[:-1] < len(cps)]] = True
-    line = np.cumsum(start | (np.concatenate([[0], cps[:-1]]) == 10)) - 1
+    start = cps == 10
+    start[offs[1:-1][offs[1:-1] < len(cps)]] = True  # a line feed belongs to the line after it, and is stripped
+    line = np.cumsum(start)
     n = line[-1] + 1
-    k = _classes()[cps]
-    a, b = k[:-1], k[1:]
+    high = np.flatnonzero(cps > 127)
+    c, own = cps[high], line[high]
+    k = _classes()[c]
+    both = np.flatnonzero((np.diff(high) == 1) & (own[:-1] == own[1:]))
+    a, b = k[both], k[both + 1]
     letter = lambda x: (x > 0) & (x < 5)
-    odd = np.where((letter(a) & (b == 5)) | ((a == 5) & letter(b)) | ((a == 5) & (b == 5) & (cps[:-1] != cps[1:])), 2, 0)
+    odd = np.where((letter(a) & (b == 5)) | ((a == 5) & letter(b)) | ((a == 5) & (b == 5) & (c[both] != c[both + 1])), 2, 0)
     odd[((a == 1) & (b == 1)) | ((a == 2) & (b == 2)) | ((a == 3) & (b == 4))] = 1
-    hits = np.bincount(line[:-1], odd * (line[:-1] == line[1:]), n) >= 2
-    rare = lm.after[cps]
-    han = (cps >= 0x3400) & (cps < 0xA000)
-    few = np.bincount(line[han & (rare < -9.5)], minlength=n)
-    hits |= (few >= 4) & (5 * few >= 2 * np.bincount(line[han], minlength=n))
-    hits |= np.bincount(line[(cps > 127) & ~han & (rare < -13)], minlength=n) > 0
+    hits = np.bincount(own[both], odd, n) >= 2
+    rare = lm.after[c]
+    han = (c >= 0x3400) & (c < 0xA000)
+    few = np.bincount(own[han & (rare < -9.5)], minlength=n)
+    hits |= (few >= 4) & (5 * few >= 2 * np.bincount(own[han], minlength=n))
+    hits |= np.bincount(own[~han & (rare < -13)], minlength=n) > 0
     w = suspicious(lm, cps)
-    inside = w * (line[:-1] == line[1:])
-    hits |= np.bincount(line[:-1], inside, n) >= 3
+    at = np.flatnonzero(w)
+    at = at[line[at] == line[at + 1]]
+    hits |= np.bincount(line[at], w[at], n) >= 3
     if not hits.any():
         return []
     first = np.searchsorted(line, np.flatnonzero(hits))
@@ -453,13 +459,13 @@ def fit(texts: DataFrame, rounds: int = 2) -> Decoder:
 
     lines = texts.select("text").mapInArrow(flagged, "line string").groupBy("line").agg(F.count("*").alias("n"))
     lines = cut(lines.repartition(texts.sparkSession.sparkContext.defaultParallelism))
-    for _ in range(rounds):
+    for first in [True] + [False] * (rounds - 1):  # once the garbled pairs have left the model, it finds these lines by itself
         dec = Decoder(lm)
 
-        def changed(it, dec=dec):
+        def changed(it, dec=dec, first=first):
             t = PairCounts()
             for b in it:
-                old_new = [(f"\n{x}\n", f"\n{y}\n" if y is not None else "", n) for x, n in zip(b.column(0).to_pylist(), b.column(1).to_pylist()) if (y := dec.read(x)) != x]
+                old_new = [(f"\n{x}\n", f"\n{y}\n" if y is not None else "", n) for x, n in zip(b.column(0).to_pylist(), b.column(1).to_pylist()) if (first or dec.is_suspicious(x)) and (y := dec.read(x)) != x]
                 for i, sign in ((0, -1), (1, 1)):
                     cps = np.frombuffer("".join(p[i] for p in old_new).encode("utf-32-le"), np.uint32)
                     times = np.repeat([sign * p[2] for p in old_new], [len(p[i]) for p in old_new]).astype(np.int64)

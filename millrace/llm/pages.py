@@ -91,17 +91,18 @@ def on(bits: np.ndarray, k: int) -> bool:
     return bool(bits[k >> 3] >> (k & 7) & 1)
 
 
-def path_statistics(texts: DataFrame, decoder: Decoder, more=None) -> DataFrame:
+def path_statistics(texts: DataFrame, more=None) -> DataFrame:
     """(node, bucket, texts, length, stops, titles, rewrites) of every path bucket, over all distinct source texts and rewrites.
 
     texts: (kind, text) of corpus.texts, so a text counts once, wherever its copies lie. Tasks add up their own counts first. `more(text, kind)` may
-    give further (node, key) to be counted in the same pass; bodies of qa records are read only for `more`."""
+    give further (node, key) to be counted in the same pass; bodies of qa records are read only for `more`.
+    Wrongly decoded lines count as they stand: their verdict is asked for as restored."""
     shape = pa.schema([("b", pa.int64()), ("node", pa.string()), *[(c, pa.int64()) for c in ("texts", "length", "stops", "titles", "rewrites")]])
 
     def run(it):
         total: dict[tuple[int, str], list[int]] = {}
         for b in batches(it, ["text"], 4 << 20):
-            for text, what in zip(decoder.texts(b.column(0).to_pylist()), b.column(1).to_pylist()):
+            for text, what in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 rewrite = what == REWRITE
                 for node, k in more(text, what) if more else ():
                     total.setdefault((k, node), [0, 0, 0, 0, 0])[0] += 1
@@ -226,7 +227,7 @@ class LineModel:
 
 def line_model(texts: DataFrame, decoder: Decoder) -> LineModel:
     """The path statistics of the whole corpus, and from them one verdict per bucket."""
-    return of_statistics(path_statistics(texts, decoder), decoder)
+    return of_statistics(path_statistics(texts), decoder)
 
 
 def of_statistics(s: DataFrame, decoder: Decoder) -> LineModel:

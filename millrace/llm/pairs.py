@@ -64,6 +64,7 @@ class Refusals:
         self.templates = [g for t in re.split(r"[\n|]", REFUSALS) if len(g := _grams(t)) >= 4]
         self.more = [_grams(t) for t in more]
         self.every = set().union(*self.templates, *self.more)
+        self.shortest = min(map(len, self.templates))
 
     def sentences(self, answer: str) -> list[set[str]]:
         if len(_grams(answer) & self.every) < 3:
@@ -71,9 +72,12 @@ class Refusals:
         s = [g for x in SENTENCE.findall(QUOTED.sub(" ", answer)) if (g := _grams(x))]
         return [g for g in [*s, *(a | b for a, b in zip(s, s[1:]))] if len(g) >= 4 and len(g & self.every) >= 3]
 
-    def aligned(self, answer: str) -> float:
-        """The best share of a sentence's or written template's shingles, whichever are fewer, that the two have in common."""
-        return max((len(g & t) / min(len(g), len(t)) for g in self.sentences(answer) for t in self.templates), default=0.0)
+    def is_like(self, sentence: str) -> bool:
+        """Whether a sentence of some length has LIKE of its shingles, or of a written template's if these are fewer, in common with the template."""
+        g = _grams(sentence)
+        if len(g & self.every) < LIKE * min(len(g), self.shortest) or len(g) * (2 if HAN.search(sentence) else 1) < LEAST_SHINGLES:
+            return False
+        return any(len(g & t) >= LIKE * min(len(g), len(t)) for t in self.templates)
 
     def __call__(self, answer: str) -> bool:
         return any(len(g & t) >= REFUSED * min(len(g), len(t)) for g in self.sentences(answer) for t in self.templates) or any(len(g & t) >= NEARLY * max(len(g), len(t)) for g in self.sentences(answer) for t in self.more)
@@ -84,7 +88,7 @@ def written() -> Refusals:
     return Refusals()
 
 
-def refusals(texts: DataFrame, decoder) -> Refusals:
+def refusals(texts: DataFrame) -> Refusals:
     """The written templates, and the sentences that the corpus has for the same: near a template, and in several bodies each.
 
     At most 1 / OF_BODIES sentences reach the driver, whatever the corpus."""
@@ -93,7 +97,7 @@ def refusals(texts: DataFrame, decoder) -> Refusals:
         known: dict[str, bool] = {}
         for b in batches(it, ["text"], 4 << 20):
             out = []
-            for c in decoder.texts(b.column(0).to_pylist()):
+            for c in b.column(0).to_pylist():
                 like = set()
                 for _, a in split_pairs(c, None):
                     for x in SENTENCE.findall(QUOTED.sub(" ", a)):
@@ -101,7 +105,7 @@ def refusals(texts: DataFrame, decoder) -> Refusals:
                         if x not in known:
                             if len(known) > 50_000:
                                 known.clear()
-                            known[x] = len(_grams(x)) * (2 if HAN.search(x) else 1) >= LEAST_SHINGLES and not re.search(r"\d", x) and written().aligned(x) >= LIKE
+                            known[x] = not re.search(r"\d", x) and written().is_like(x)
                         if known[x]:
                             like.add(x)
                 out += like
@@ -200,14 +204,14 @@ def open_shapes(body: str) -> list[int]:
     return [key64(shape(a)) for _, a in split_pairs(body, None) if not is_nothing(a) and not closed(a) and not MARK.search(a)]
 
 
-def open_answers(texts: DataFrame, decoder) -> DataFrame:
+def open_answers(texts: DataFrame) -> DataFrame:
     """(key, n): the shape of every answer that isn't closed, empty, or marked as cut, and how many there are, each distinct body counting once:
     copies of one cut answer don't make its shape a usual one."""
 
     def run(it):
         out: Counter = Counter()
         for b in batches(it, ["text"], 4 << 20):
-            for c in decoder.texts(b.column(0).to_pylist()):
+            for c in b.column(0).to_pylist():
                 out.update(open_shapes(c))
         yield pa.RecordBatch.from_arrays([pa.array(list(out), pa.int64()), pa.array(list(out.values()), pa.int64())], names=["key", "n"])
 
@@ -317,4 +321,4 @@ def defective_pairs(records: DataFrame, texts: DataFrame, model: PairModel) -> D
 
 
 def pair_model(texts: DataFrame, identifier: Identifier) -> PairModel:
-    return PairModel(identifier, usual(open_answers(texts, identifier.decoder), LEAST, SHARE), refusals(texts, identifier.decoder))
+    return PairModel(identifier, usual(open_answers(texts), LEAST, SHARE), refusals(texts))

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..cluster import cut
 from .arrowtext import batches, code_points
 from .codepages import Decoder
+from .corpus import SOURCE
 from .pages import weight
 
 KINDS = ["filler", "error_page", "script_notice"]
@@ -235,7 +236,7 @@ LEAST_FILLER = 24
 
 def residue_model(texts: DataFrame) -> ResidueModel:
     """Prose is counted over all texts of some length; the kinds' models start from the written examples and grow, in rounds, by the
-    distinct short texts (filler: any text's lines) that the present model is sure of.
+    distinct short contents (filler: any content's lines) that the present model is sure of.
 
     What reaches the driver are counts of trigram buckets."""
     shape = pa.schema([("kind", pa.int32()), ("bucket", pa.int32()), ("n", pa.float64())])
@@ -273,7 +274,7 @@ def residue_model(texts: DataFrame) -> ResidueModel:
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in out], pa.string()), pa.array([y for _, y in out])], names=["line", "brief"])
 
-    lines = cut(text.mapInArrow(candidates, "line string, brief boolean").groupBy("line").agg(F.max("brief").alias("brief")))
+    lines = cut(texts.where(F.col("kind") != SOURCE).select("text").mapInArrow(candidates, "line string, brief boolean").groupBy("line").agg(F.max("brief").alias("brief")))
     for _ in range(ROUNDS):
 
         def grow(it, model=model):

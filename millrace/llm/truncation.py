@@ -95,7 +95,7 @@ def keys_of(text: str, kind: int) -> list[tuple[str, int]]:
 def models(texts: DataFrame, decoder) -> tuple[frozenset[int], frozenset[int], DataFrame, LineModel]:
     """(line ends, answer shapes, items, line model) from one pass: keys of the unclosed last lines and of the shapes of unclosed answers that recur in
     the corpus (bounded by their share of all), keys of all the short lines that stand before a last line, and the furniture verdicts."""
-    s = cut(path_statistics(texts, decoder, keys_of))
+    s = cut(path_statistics(texts, keys_of))
     of = lambda node: s.where(F.col("node") == node).select(F.col("bucket").alias("key"), F.col("texts").alias("n"))
     return usual(of("end"), 4, 3e-4), usual(of("shape"), LEAST, SHARE), of("item").select("key"), of_statistics(s, decoder)
 
@@ -114,7 +114,7 @@ class Endings:
         """(kind of ending, None) of a text, or ('listed', the key of the item) where the corpus must tell whether it knows the item as whole.
 
         `fixed` is the text with its wrongly decoded lines restored."""
-        last, _ = last_line(value)
+        last = value.rstrip().rpartition("\n")[2]
         if not last or (closed(last) and not MARK.search(last)):
             return "closed", None
         text = self.decoder.text(value) if fixed is None else fixed
@@ -305,4 +305,4 @@ def cut_shares(values: DataFrame) -> DataFrame:
 def endings(texts: DataFrame, identifier: Identifier) -> tuple[Endings, DataFrame]:
     """(the namer of endings, keys of the items that the corpus knows as whole)."""
     ends, shapes, items, lines = models(texts, identifier.decoder)
-    return Endings(ends, lines, PairModel(identifier, shapes, refusals(texts, identifier.decoder))), items
+    return Endings(ends, lines, PairModel(identifier, shapes, refusals(texts))), items

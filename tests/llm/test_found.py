@@ -166,10 +166,10 @@ def test_furniture(lines):
     assert lines.furniture_lines("\n".join(body)) == [] and lines.furniture_lines("") == []
 
 
-def test_scattered_copies_of_a_text_count_once(spark, decoder):
+def test_scattered_copies_of_a_text_count_once(spark):
     text = "The stone wharf was sold to the river council.\nPhoto: Larby archive"
     d = spark.createDataFrame([(f"u{i}", "multi_style", text, "A rewrite.") for i in range(24)], "uid string, style string, _source_text string, content string").repartition(6)
-    got = pages.path_statistics(corpus.texts(d), decoder).agg({"texts": "max", "rewrites": "max"}).first()
+    got = pages.path_statistics(corpus.texts(d)).agg({"texts": "max", "rewrites": "max"}).first()
     assert tuple(got) == (1, 1)
 
 
@@ -267,7 +267,7 @@ def test_copies_of_a_cut_answer_count_once(spark, ident):
     d = spark.createDataFrame(rows, "uid string, style string, content string, _source_text string").repartition(4)
     got = {tuple(r) for r in pairs.defective_pairs(d, corpus.texts(d), pairs_model(d, ident)).collect()}
     assert got == {(f"c{i}", 1, "truncated_answer") for i in range(40)}
-    assert sorted(r.n for r in pairs.open_answers(corpus.texts(d), ident.decoder).collect()) == [1, 6]
+    assert sorted(r.n for r in pairs.open_answers(corpus.texts(d)).collect()) == [1, 6]
 
 
 def test_censored_fit_finds_limits():
