@@ -26,7 +26,7 @@ KINDS = ["filler", "error_page", "script_notice"]
 BITS = 18
 WINDOW = 16
 #: Mean log-likelihood ratio of a window that is residue; coverage from which a value is; share of a line that is filler.
-RATIO, COVERAGE, LINE_SHARE = 0.6, 0.38, 0.6
+RATIO, COVERAGE, LINE_SHARE = 0.42, 0.38, 0.6
 
 # Written examples of general wording; what the corpus itself holds is learnt from there.
 EXAMPLES = {
