@@ -103,6 +103,8 @@ class _RunSwap:
     def __init__(self, true: str, shown: str, lost: float):
         self.name, self.true, self.shown, self.lost = f"{true} as {shown}", true, shown, lost
         self.run = re.compile(r"[^\x00-\x7f]+")
+        # what the shown page never shows: such a line isn't looked at any further
+        self.shows = re.compile("[\u3400-\u9fff]") if shown == "gbk" else re.compile("[\xa1-\xfe]{2}")
         self.byte = {c: bytes([b]) for b, c in enumerate(_shown("cp1252")) if b >= 0x80} | {chr(b): bytes([b]) for b in range(0x80, 0xA0)}
         self.known: dict[str, str] = {}
 
@@ -121,12 +123,16 @@ class _RunSwap:
         if u not in self.known:
             if len(self.known) > 20000:
                 self.known.clear()
-            out = re.sub(LOST + "+", LOST, b"".join(map(self._bytes, u)).decode(self.true, errors="replace"))
+            try:
+                raw = u.encode("gbk") if self.shown == "gbk" else b"".join(map(self._bytes, u))
+            except UnicodeEncodeError:
+                raw = b"".join(map(self._bytes, u))
+            out = re.sub(LOST + "+", LOST, raw.decode(self.true, errors="replace"))
             self.known[u] = out if out.count(LOST) <= self.lost * len(out) else u
         return self.known[u]
 
     def __call__(self, s: str) -> str:
-        return self.run.sub(self._text, s)
+        return self.run.sub(self._text, s) if self.shows.search(s) else s
 
 
 class _OneByte:
@@ -251,8 +257,8 @@ class Bigrams:
         return np.isnan(self.table[_slots(a, b)])
 
     def total(self, s: str) -> float:
-        cps = np.frombuffer(("\n" + s + "\n").encode("utf-32-le"), np.uint32)
-        return float(self.scores(cps)[0].sum())
+        cps = np.minimum(np.frombuffer(("\n" + s + "\n").encode("utf-32-le"), np.uint32), TOP - 1)
+        return float(self.of_pairs(cps[:-1], cps[1:]).sum())
 
 
 def suspicious(lm: Bigrams, cps: np.ndarray) -> np.ndarray:
@@ -426,12 +432,12 @@ def _tried(lm: Bigrams, col) -> list[str]:
 _PAIRS = pa.schema([("pair", pa.int64()), ("n", pa.int64())])
 
 
-def fit(texts: DataFrame, rounds: int = 2) -> Decoder:
+def fit(texts: DataFrame, rounds: int = 1) -> Decoder:
     """Hard EM over all distinct texts: lines that may be wrongly decoded are decoded by the present model, and the model is counted again.
 
     texts: (text) as corpus.texts() gives them. Pairs are counted in every task first; only pairs that are frequent enough to count as seen, at most
-    1 / LEAST_PAIR whatever the corpus, and the single characters come to the driver. Lines that may be garbled are found once,
-    and each round counts only what they change."""
+    1 / LEAST_PAIR whatever the corpus, and the single characters come to the driver. Lines that may be garbled are found once, and
+    each round counts only what they change."""
 
     def counted(it):
         t = PairCounts()

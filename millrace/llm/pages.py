@@ -150,6 +150,8 @@ def cells(line: str) -> int:
     for sep in (";", ","):
         if s.count(sep) >= 2 and not re.search(sep + " ", s.replace(f'"{sep} ', "")):
             return s.count(sep) + 1
+    if "  " not in s:
+        return 0
     n = len(re.findall(r"\S {2,}(?=\S)", s))
     return n + 1 if n >= 2 or (n == 1 and re.search(r"\d\s*$", s)) else 0
 

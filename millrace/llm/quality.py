@@ -132,7 +132,8 @@ class Figures:
                 closes += w
         bare = [MARKER.sub("", x.strip(), count=1) for x in kept]
         variety = self._variety(" ".join(bare))
-        coded = 3 * len(MIXED.findall(text)) >= len(text.split())
+        n_words = len(text.split())
+        coded = 3 * len(DIGIT.findall(text)) >= n_words and 3 * len(MIXED.findall(text)) >= n_words
         total = max(total, 1)
         words = WORDS.findall(text.lower())
         n_letters = sum(map(len, words))

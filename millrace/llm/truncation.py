@@ -26,7 +26,7 @@ from .codepages import LOST
 from .corpus import BODY, KEY, SOURCE
 from .langid import Identifier
 from .pages import HAN, MARKER, LineModel, cells, closed, data_row, of_statistics, path_statistics, weight
-from .pairs import LABEL, LEAST, MARK, SHARE, PairModel, is_copy, is_nothing, key64, open_shapes, refusals, split_pairs, stem_and_options, usual
+from .pairs import LABEL, LEAST, MARK, SHARE, PairModel, is_copy, is_nothing, key64, open_shapes, split_pairs, stem_and_options, usual, written
 from .quality import Figures
 
 #: What an ending counts as: inside a sentence or row; a short line or item that the corpus doesn't know; a whole item or row; a line end that recurs.
@@ -190,8 +190,11 @@ def measured(records: DataFrame, texts: DataFrame, endings: Endings, items: Data
     def run(it):
         for b in batches(it, ["text"], 1 << 20):
             kind, value = b.column(0).to_pylist(), b.column(3).to_pylist()
-            fixed = endings.decoder.texts(value)
-            ends = [(endings.of_pairs(v, f), None) if k == BODY else endings.of_text(v, f) for k, v, f in zip(kind, value, fixed)]
+            ends: list[tuple[str, int | None]] = [("closed", None)] * len(value)
+            # a value that ends with a full stop as it stands does so as restored
+            asked = [i for i, v in enumerate(value) if not closed(x := v.rstrip().rpartition("\n")[2]) or MARK.search(x)]
+            for i, f in zip(asked, endings.decoder.texts([value[i] for i in asked])):
+                ends[i] = (endings.of_pairs(value[i], f), None) if kind[i] == BODY else endings.of_text(value[i], f)
             yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array([e for e, _ in ends], pa.string()), pa.array([k for _, k in ends], pa.int64())], names=["kind", *KEY, "ending", "item"])
 
     found = cut(texts.select("kind", *KEY, "text").mapInArrow(run, "kind int, h long, g long, ending string, item long"))
@@ -305,4 +308,4 @@ def cut_shares(values: DataFrame) -> DataFrame:
 def endings(texts: DataFrame, identifier: Identifier) -> tuple[Endings, DataFrame]:
     """(the namer of endings, keys of the items that the corpus knows as whole)."""
     ends, shapes, items, lines = models(texts, identifier.decoder)
-    return Endings(ends, lines, PairModel(identifier, shapes, refusals(texts))), items
+    return Endings(ends, lines, PairModel(identifier, shapes, written())), items
