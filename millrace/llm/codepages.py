@@ -324,6 +324,21 @@ class Decoder:
         g = self.gains(s, 3.0)
         return max(g, key=lambda x: x[1])[2] if g else None if LOST in s else s
 
+    def best(self, s: str) -> str:
+        """A suspicious line restored by the first swap, in their order, that gains and leaves nothing suspicious, else by that of the highest gain."""
+        base, best = self.lm.total(s), (self.least, s)
+        high = len(s) - len(s.encode("ascii", "ignore"))
+        for f in swaps():
+            t = f(s, high) if isinstance(f, _OneByte) else f(s)
+            if t == s:
+                continue
+            g = self.lm.total(t) - base - 2.0 * (len(s) - len(t)) - 6.0 * (t.count(LOST) - s.count(LOST) if LOST in t else 0)
+            if g > best[0]:
+                best = (g, t)
+                if LOST not in t and not self.is_suspicious(t):
+                    break
+        return best[1]
+
     def line(self, s: str) -> tuple[str, list[tuple[int, float]]]:
         """(the line restored by its best swap, all gaining swaps)."""
         if s.isascii():
@@ -340,10 +355,10 @@ class Decoder:
         return hit
 
     def text(self, s: str) -> str:
-        """The whole text, each line restored by its own best swap."""
+        """The whole text, each suspicious line restored by best()."""
         if s.isascii():
             return s
-        return "\n".join(self.line(x)[0] for x in s.split("\n"))
+        return "\n".join(x if x.isascii() or not self.is_suspicious(x) else self.best(x) for x in s.split("\n"))
 
     def texts(self, values: list[str | None]) -> list[str]:
         """text() of many values, looking line by line only into those that hold something suspicious; null gives ''."""
@@ -369,13 +384,14 @@ def fit_lines(texts: list[str | None], rounds: int = 2) -> Decoder:
     lines = list({x: None for t in texts if t for x in t.split("\n") if x})
     dec = Decoder(Bigrams.of_lines(lines))
     for _ in range(rounds):
-        tried = set(_tried(dec.lm, pa.array(lines, pa.string())))
+        tried = set(_tried(pa.array(lines, pa.string())))
         dec = Decoder(Bigrams.of_lines([y for x in lines if (y := dec.read(x) if x in tried else x) is not None]))
     return dec
 
 
 def _classes() -> np.ndarray:
-    """1, 2: Latin letters above ASCII, small and capital; 3, 4: Cyrillic ones; 5: signs above ASCII that don't stand beside letters in clean text."""
+    """1, 2: Latin letters above ASCII, small and capital; 3, 4: Cyrillic ones; 5: signs above ASCII that don't stand beside letters in clean text;
+    6: ideographs outside the 3,755 common ones (the first level of GB 2312); 7: the common ones."""
     global _class_table
     if _class_table is None:
         t = np.zeros(TOP, np.uint8)
@@ -387,6 +403,10 @@ def _classes() -> np.ndarray:
                 t[c] = 2 if k == "Lu" else 1
             elif k[0] != "M" and chr(c) not in USUAL_SIGNS:
                 t[c] = 5
+        t[0x3400:0xA000] = 6
+        for lead in range(0xB0, 0xD8):
+            for c in b"".join(bytes([lead, trail]) for trail in range(0xA1, 0xFF)).decode("gb2312", "ignore"):
+                t[ord(c)] = 7
         _class_table = t
     return _class_table
 
@@ -394,8 +414,9 @@ def _classes() -> np.ndarray:
 _class_table: np.ndarray | None = None
 
 
-def _tried(lm: Bigrams, col) -> list[str]:
-    """Lines of an Arrow column that may be wrongly decoded, by their make-up or by the model; the model itself may still hold their pairs, so make-up counts whatever it says."""
+def _tried(col) -> list[str]:
+    """Lines of an Arrow column whose make-up says that they may be wrongly decoded, however often their pairs occur. Rare garbled pairs needn't be
+    found here: they stay too rare to count as seen."""
     cps, offs = code_points(col)
     if len(cps) < 2 or not (cps > 127).any():
         return []
@@ -405,23 +426,17 @@ def _tried(lm: Bigrams, col) -> list[str]:
     line = np.cumsum(start)
     n = line[-1] + 1
     high = np.flatnonzero(cps > 127)
-    c, own = cps[high], line[high]
-    k = _classes()[c]
+    own = line[high]
+    k = _classes()[cps[high]]
     both = np.flatnonzero((np.diff(high) == 1) & (own[:-1] == own[1:]))
     a, b = k[both], k[both + 1]
     letter = lambda x: (x > 0) & (x < 5)
-    odd = np.where((letter(a) & (b == 5)) | ((a == 5) & letter(b)) | ((a == 5) & (b == 5) & (c[both] != c[both + 1])), 2, 0)
+    odd = np.where((letter(a) & (b == 5)) | ((a == 5) & letter(b)) | ((a == 5) & (b == 5) & (cps[high[both]] != cps[high[both + 1]])), 2, 0)
     odd[((a == 1) & (b == 1)) | ((a == 2) & (b == 2)) | ((a == 3) & (b == 4))] = 1
     hits = np.bincount(own[both], odd, n) >= 2
-    rare = lm.after[c]
-    han = (c >= 0x3400) & (c < 0xA000)
-    few = np.bincount(own[han & (rare < -9.5)], minlength=n)
-    hits |= (few >= 4) & (5 * few >= 2 * np.bincount(own[han], minlength=n))
-    hits |= np.bincount(own[~han & (rare < -13)], minlength=n) > 0
-    w = suspicious(lm, cps)
-    at = np.flatnonzero(w)
-    at = at[line[at] == line[at + 1]]
-    hits |= np.bincount(line[at], w[at], n) >= 3
+    few = np.bincount(own[k == 6], minlength=n)
+    hits |= (few >= 4) & (4 * few >= np.bincount(own[k >= 6], minlength=n))
+    hits |= np.bincount(own[cps[high] == 0xFFFD], minlength=n) > 0
     if not hits.any():
         return []
     first = np.searchsorted(line, np.flatnonzero(hits))
@@ -430,6 +445,7 @@ def _tried(lm: Bigrams, col) -> list[str]:
 
 
 _PAIRS = pa.schema([("pair", pa.int64()), ("n", pa.int64())])
+_FOUND = pa.schema([*_PAIRS, ("line", pa.string())])
 
 
 def fit(texts: DataFrame, rounds: int = 1) -> Decoder:
@@ -443,9 +459,18 @@ def fit(texts: DataFrame, rounds: int = 1) -> Decoder:
         t = PairCounts()
         for b in batches(it, ["text"], 4 << 20):
             t.add(np.frombuffer("\n".join(["", *b.column(0).to_pylist(), ""]).encode("utf-32-le"), np.uint32))
-        yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in t.take()], schema=_PAIRS)
+            lines = _tried(b.column(0))
+            if lines:
+                none = pa.nulls(len(lines), pa.int64())
+                yield pa.RecordBatch.from_arrays([none, none, pa.array(lines, pa.string())], schema=_FOUND)
+        keys, counts = t.take()
+        yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(counts, pa.int64()), pa.nulls(len(keys), pa.string())], schema=_FOUND)
 
-    base = cut(texts.select("text").mapInArrow(counted, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")))
+    # one pass gives both the pairs, added up a task, and the lines, added up by Spark
+    found = texts.select("text").mapInArrow(counted, "pair long, n long, line string")
+    found = cut(found.groupBy("pair", "line").agg(F.sum("n").alias("n"), F.count("*").alias("times")))
+    base = found.where("line is null").select("pair", "n")
+    lines = found.where("line is not null").select("line", F.col("times").alias("n")).repartition(texts.sparkSession.sparkContext.defaultParallelism)
 
     def model(pairs: DataFrame) -> Bigrams:
         one = pairs.groupBy(F.shiftright("pair", 21).cast("int").alias("c")).agg(F.sum("n").alias("n")).toArrow()
@@ -457,14 +482,6 @@ def fit(texts: DataFrame, rounds: int = 1) -> Decoder:
 
     lm = model(base)
 
-    def flagged(it):
-        for b in batches(it, ["text"], 4 << 20):
-            out = _tried(lm, b.column(0))
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(out, pa.string())], names=["line"])
-
-    lines = texts.select("text").mapInArrow(flagged, "line string").groupBy("line").agg(F.count("*").alias("n"))
-    lines = cut(lines.repartition(texts.sparkSession.sparkContext.defaultParallelism))
     for first in [True] + [False] * (rounds - 1):  # once the garbled pairs have left the model, it finds these lines by itself
         dec = Decoder(lm)
 

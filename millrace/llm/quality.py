@@ -28,7 +28,7 @@ FEATURES = ["item_share", "row_share", "closed_share", "sense", "variety", "log_
 #: Ends of the features' ranges. Beyond them a feature tells nothing more: any sense over -3 is language, and pieces of which three in ten are distinct are no scrap.
 RANGE = np.array([(0, 1), (0, 1), (0, 1), (-5, -3), (0, 0.3), (0, 5), (0, 12), (0, 0.3), (0, 0.5), (0, 1)], float)
 #: Rounds of EM at most, and the gain in mean log-likelihood under which it ends.
-ROUNDS, LEAST_GAIN = 25, 1e-3
+ROUNDS, LEAST_GAIN = 12, 2e-3
 #: Share of all texts with whose weight an example holds its component.
 HELD = 0.006
 #: Common words kept: those that most texts hold, of at most so many letters.

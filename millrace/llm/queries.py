@@ -13,7 +13,7 @@ from . import bpe, codepages, corpus, langid, lookalikes, mixing, pages, pairs,
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     ship(spark)
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    return spread(df, {"sample_5": "_source_text"}.get(name)) if name in ("sample_5", "documents") else df
+    return spread(df) if name == "documents" else df
 
 
 def _records(spark, sf_dir, kinds=(corpus.SOURCE, corpus.REWRITE, corpus.BODY)) -> tuple[DataFrame, DataFrame]:
@@ -114,7 +114,7 @@ def p5_main_text(spark, sf_dir):
 def p6_found(spark, sf_dir):
     """(uid, kind): records whose content is or holds template residue, filler, an error page or a script notice."""
     t, texts = _records(spark, sf_dir)
-    return residue.residues(t, residue.residue_model(texts), codepages.fit(texts))
+    return residue.residues(spread(t.select("uid", "content")), residue.residue_model(texts), codepages.fit(texts))
 
 
 def p7_found(spark, sf_dir):

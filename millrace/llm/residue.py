@@ -229,7 +229,7 @@ class ResidueModel:
 #: Weight of a text from which its lines count as prose; notices are shorter.
 PROSE = 180
 #: Rounds in which the kinds' models grow from the corpus, and the mean ratio of a short text, or of a line of filler in a long one, that they grow by.
-ROUNDS, GROW = 4, 0.35
+ROUNDS, GROW = 2, 0.35
 #: Characters from which a line of a long text may be filler.
 LEAST_FILLER = 24
 
