@@ -321,21 +321,25 @@ class Decoder:
 
     def read(self, s: str) -> str | None:
         """A line as the EM counts it: decoded where any swap gains, None where characters are lost and none does."""
-        g = self.gains(s, 3.0)
-        return max(g, key=lambda x: x[1])[2] if g else None if LOST in s else s
+        t = self._first(s, 3.0, lambda t: not _tried(pa.array([t])))
+        return None if t == s and LOST in s else t
 
     def best(self, s: str) -> str:
         """A suspicious line restored by the first swap, in their order, that gains and leaves nothing suspicious, else by that of the highest gain."""
-        base, best = self.lm.total(s), (self.least, s)
+        return self._first(s, self.least, lambda t: not self.is_suspicious(t))
+
+    def _first(self, s: str, least: float, clean) -> str:
+        base, best = None, (least, s)
         high = len(s) - len(s.encode("ascii", "ignore"))
         for f in swaps():
             t = f(s, high) if isinstance(f, _OneByte) else f(s)
             if t == s:
                 continue
+            base = self.lm.total(s) if base is None else base
             g = self.lm.total(t) - base - 2.0 * (len(s) - len(t)) - 6.0 * (t.count(LOST) - s.count(LOST) if LOST in t else 0)
             if g > best[0]:
                 best = (g, t)
-                if LOST not in t and not self.is_suspicious(t):
+                if LOST not in t and clean(t):
                     break
         return best[1]
 
@@ -481,7 +485,6 @@ def fit(texts: DataFrame, rounds: int = 1) -> Decoder:
         return Bigrams(uni, np.asarray(seen["pair"]), np.asarray(seen["n"]).astype(np.float64))
 
     lm = model(base)
-
     for first in [True] + [False] * (rounds - 1):  # once the garbled pairs have left the model, it finds these lines by itself
         dec = Decoder(lm)
 
@@ -495,7 +498,7 @@ def fit(texts: DataFrame, rounds: int = 1) -> Decoder:
                     t.add(cps, times[:-1])
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in t.take()], schema=_PAIRS)
 
-        lm = model(base.unionByName(lines.mapInArrow(changed, "pair long, n long")).groupBy("pair").agg(F.sum("n").alias("n")).where("n > 0"))
+        lm = model(cut(base.unionByName(lines.mapInArrow(changed, "pair long, n long")).groupBy("pair").agg(F.sum("n").alias("n")).where("n > 0")))
     return Decoder(lm)
 
 

@@ -234,6 +234,10 @@ ROUNDS, GROW = 2, 0.35
 LEAST_FILLER = 24
 
 
+def is_prose(text: str) -> bool:
+    return len(text) >= PROSE or 3 * len(text) >= PROSE and weight(text) >= PROSE
+
+
 def residue_model(texts: DataFrame) -> ResidueModel:
     """Prose is counted over all texts of some length; the kinds' models start from the written examples and grow, in rounds, by the
     distinct short contents (filler: any content's lines) that the present model is sure of.
@@ -255,7 +259,7 @@ def residue_model(texts: DataFrame) -> ResidueModel:
     def prose(it):
         n = np.zeros(1 << BITS)
         for b in batches(it, ["text"], 4 << 20):
-            n += _counts([v for v in b.column(0).to_pylist() if weight(v) >= PROSE])
+            n += _counts([v for v in b.column(0).to_pylist() if is_prose(v)])
         yield from emitted({len(KINDS): n})
 
     text = texts.select("text")
@@ -266,8 +270,9 @@ def residue_model(texts: DataFrame) -> ResidueModel:
     def candidates(it):
         for b in batches(it, ["text"], 4 << 20):
             values = b.column(0).to_pylist()
-            out = [(v, True) for v in values if weight(v) < PROSE and len(v.strip()) > 8]
-            cps = np.frombuffer("\n".join([v for v in values if weight(v) >= PROSE]).encode("utf-32-le"), np.uint32)
+            long = [is_prose(v) for v in values]
+            out = [(v, True) for v, y in zip(values, long) if not y and len(v.strip()) > 8]
+            cps = np.frombuffer("\n".join([v for v, y in zip(values, long) if y]).encode("utf-32-le"), np.uint32)
             m, first, last = model.line_means(cps)
             for j in np.flatnonzero((m[0] > GROW / 2) & (last - first >= LEAST_FILLER)):
                 out.append((cps[first[j] : last[j]].tobytes().decode("utf-32-le"), False))

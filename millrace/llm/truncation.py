@@ -27,7 +27,7 @@ from .corpus import BODY, KEY, SOURCE
 from .langid import Identifier
 from .pages import HAN, MARKER, LineModel, cells, closed, data_row, of_statistics, path_statistics, weight
 from .pairs import LABEL, LEAST, MARK, SHARE, PairModel, is_copy, is_nothing, key64, open_shapes, split_pairs, stem_and_options, usual, written
-from .quality import Figures
+from .quality import DIGIT, MIXED, Figures
 
 #: What an ending counts as: inside a sentence or row; a short line or item that the corpus doesn't know; a whole item or row; a line end that recurs.
 ENDS_AS = {"mark": "unfinished", "open": "unfinished", "row_cut": "unfinished", "item_unknown": "unknown", "short_unknown": "unknown", "item": "item", "row": "item", "known": "known"}
@@ -174,8 +174,8 @@ class Endings:
             return True
         if letters * 2 < len(tail.replace(" ", "")) and not HAN.search(tail) and not data_row(last) and not MARKER.match(last):
             return True
-        mixed = re.findall(r"\b(?=\w*\d)(?=\w*[A-Za-z])\w{3,}\b", tail)
-        if 3 * len(mixed) >= len(tail.split()) and not data_row(last) and len(tail) > 60:
+        words = len(tail.split())
+        if 3 * len(DIGIT.findall(tail)) >= words and 3 * len(MIXED.findall(tail)) >= words and not data_row(last) and len(tail) > 60:
             return True
         cps = np.frombuffer(tail.encode("utf-32-le"), np.uint32)
         return len(cps) > 30 and not data_row(last) and float(self.decoder.lm.scores(cps)[0].mean()) < -4.8
