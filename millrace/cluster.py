@@ -32,11 +32,13 @@ def ship(spark: SparkSession) -> None:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that all executors share: the session's spark.checkpoint.dir; only where none is set, as in tests, a temporary one."""
+    """The folder that all executors share: the session's spark.checkpoint.dir; only where none is set and all run on this machine, as in tests, a temporary one."""
     global _own_folder
     set_one = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if set_one:
         return set_one.rstrip("/")
+    if spark.sparkContext.master.split("[")[0] != "local":
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     _own_folder = _own_folder or "file://" + tempfile.mkdtemp()
     return _own_folder
 

@@ -1,4 +1,4 @@
-"""Joins of records, references and anchors. Long texts meet by digest and are then compared."""
+"""Joins of records, references and anchors. Long texts meet by their digest of 256 bits; the right text never leaves its task."""
 
 from __future__ import annotations
 
@@ -23,10 +23,10 @@ def by_uid(reference: DataFrame, local: DataFrame, local_pos: str, key: str = "u
 def by_text(left: DataFrame, right: DataFrame, left_text: str, right_text: str, right_pos: str, prefix: str = "r_") -> DataFrame:
     """Inner join by equal text. Of equal texts on the right the last by right_pos counts; null and empty texts match nothing."""
     k = lambda c: F.sha2(F.col(c), 256)
-    r = last_by(right.where(F.length(right_text) > 0).withColumn("_k", k(right_text)), "_k", right_pos)
+    r = last_by(right.where(F.length(right_text) > 0).withColumn("_k", k(right_text)).drop(right_text), "_k", right_pos)
     r = r.select("_k", *[F.col(c).alias(prefix + c) for c in r.columns if c != "_k"])
     j = left.where(F.length(left_text) > 0).withColumn("_k", k(left_text)).join(r, "_k")
-    return j.where(F.col(left_text) == F.col(prefix + right_text)).drop("_k")
+    return j.withColumn(prefix + right_text, F.col(left_text)).drop("_k")
 
 
 def listed(df: DataFrame, uids: DataFrame, key: str = "uid", pos: str = "pos") -> tuple[DataFrame, DataFrame]:

@@ -209,12 +209,13 @@ def dedup(df: DataFrame, text: str = "text", pos: str = "seed_pos", max_chars: i
     """The first row by pos of each text clipped to max_chars. compat keeps every row over max_chars, as a collector does that
     looks for the whole text among clipped ones. Texts meet by their digest; a frequent text is first reduced to one row per task."""
     d = df.withColumn("_clipped", rstrip_u(F.left(F.col(text), F.lit(max_chars))) if max_chars else F.col(text)).withColumn("_key", F.sha2("_clipped", 256))
-    first = d.groupBy("_key").agg(F.min(pos).alias("_first"))
-    d = d.join(first, "_key")
-    keep = F.col(pos) == F.col("_first")
+    first = d.groupBy("_key").agg(F.min(pos).alias(pos))
+    # the pair (text, position) is never hot, however many rows hold the text
+    kept = d.join(first, ["_key", pos], "left_semi")
     if compat and max_chars:
-        keep = keep | (F.length(text) > max_chars)
-    return d.where(keep).withColumn(text, F.col("_clipped")).drop("_clipped", "_key", "_first")
+        over = F.length(text) > max_chars
+        kept = kept.where(F.coalesce(~over, F.lit(True))).unionByName(d.where(over))
+    return kept.withColumn(text, F.col("_clipped")).drop("_clipped", "_key").select(*df.columns)
 
 
 def first_n(df: DataFrame, n: int, pos: str = "seed_pos") -> DataFrame:
