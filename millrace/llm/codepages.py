@@ -320,8 +320,8 @@ class Decoder:
         return out
 
     def read(self, s: str) -> str | None:
-        """A line as the EM counts it: decoded where any swap gains, None where characters are lost and none does."""
-        t = self._first(s, 3.0, lambda t: not _tried(pa.array([t])))
+        """A line as the EM counts it: decoded where a swap doesn't lose by more than the garbled pairs that the model still holds may cost, None where characters are lost and none does."""
+        t = self._first(s, -2.0, lambda t: not _tried(pa.array([t])))
         return None if t == s and LOST in s else t
 
     def best(self, s: str) -> str:
