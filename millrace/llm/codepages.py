@@ -276,6 +276,8 @@ def suspicious(lm: Bigrams, cps: np.ndarray) -> np.ndarray:
     han = lambda c: (c >= 0x3400) & (c < 0xA000)
     cyr = lambda c: (c >= 0x400) & (c < 0x460)
     on = np.flatnonzero(unseen | (b == 0xFFFD))
+    if not len(on):
+        return w
     at, a, b = at[on], a[on], b[on]
     ha, hb = han(a), han(b)
     both = a > 127
@@ -321,7 +323,7 @@ class Decoder:
 
     def read(self, s: str) -> str | None:
         """A line as the EM counts it: decoded where a swap doesn't lose by more than the garbled pairs that the model still holds may cost, None where characters are lost and none does."""
-        t = self._first(s, -2.0, lambda t: not _tried(pa.array([t])))
+        t = self._first(s, -2.0, lambda t: not _tried_of(np.frombuffer(t.encode("utf-32-le"), np.uint32), np.array([0, len(t)])))
         return None if t == s and LOST in s else t
 
     def best(self, s: str) -> str:
@@ -421,7 +423,11 @@ _class_table: np.ndarray | None = None
 def _tried(col) -> list[str]:
     """Lines of an Arrow column whose make-up says that they may be wrongly decoded, however often their pairs occur. Rare garbled pairs needn't be
     found here: they stay too rare to count as seen."""
-    cps, offs = code_points(col)
+    return _tried_of(*code_points(col))
+
+
+def _tried_of(cps: np.ndarray, offs: np.ndarray) -> list[str]:
+    """_tried() of rows as code points and the rows' bounds."""
     if len(cps) < 2 or not (cps > 127).any():
         return []
     cps = np.minimum(cps, TOP - 1)

@@ -14,6 +14,8 @@ from __future__ import annotations
 
 import re
 import zlib
+from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +40,8 @@ MARKER = re.compile(r"^\s*(?:([-*•>▪◦·–])|(\d{1,3}[.)、])|(\([a-zA-Z0-
 DIGITS = re.compile(r"\d+")
 HAN = re.compile(r"[㐀-鿿]")
 SPLIT = re.compile(r"\s*(?:[|·>/;,\t]|\s{2,})\s*")
+#: What a line has that SPLIT can split.
+SEPARATOR = re.compile(r"[|·>/;,\t]|\s\s")
 
 
 def is_han(s: str) -> bool:
@@ -46,7 +50,7 @@ def is_han(s: str) -> bool:
 
 def closed(s: str) -> bool:
     """Ends with a full stop, whatever quotes or brackets follow it."""
-    return s.rstrip().rstrip(CLOSERS).endswith(STOPS) or s.rstrip().endswith(("”", "»")) and s.rstrip().rstrip(CLOSERS).endswith(STOPS)
+    return s.rstrip().rstrip(CLOSERS).endswith(STOPS)
 
 
 def weight(s: str) -> int:
@@ -54,16 +58,21 @@ def weight(s: str) -> int:
     return len(s) if s.isascii() else len(s) + 2 * len(HAN.findall(s))
 
 
+@lru_cache(64)
+def _begun(kind: str) -> int:
+    return zlib.crc32(f"{kind}\x00".encode())
+
+
 def bucket(kind: str, key: str) -> int:
-    return zlib.crc32(f"{kind}\x00{key}".encode()) & ((1 << BITS) - 1)
+    return zlib.crc32(key.encode(), _begun(kind)) & ((1 << BITS) - 1)
 
 
-def paths(line: str) -> list[tuple[str, int]]:
-    """(node, bucket) of a line: leaf, opening and closing. Marks of lists are no part of the words."""
+def paths(line: str, ideographs: int | None = None) -> list[tuple[str, int]]:
+    """(node, bucket) of a line: leaf, opening and closing. Marks of lists are no part of the words. ideographs: how many the line has, where they are counted already."""
     m = MARKER.match(line)
     s = DIGITS.sub("0", line[m.end() :] if m else line).strip()
     out = [("leaf", bucket("leaf", s))]
-    if is_han(s):
+    if is_han(s) if ideographs is None else 3 * ideographs > len(s):  # no mark and no digit is an ideograph
         if len(s) >= 7:
             out += [("open", bucket("open", s[:4])), ("close", bucket("close", s[-5:]))]
     else:
@@ -102,18 +111,21 @@ def path_statistics(texts: DataFrame, more=None) -> DataFrame:
     def run(it):
         total: dict[tuple[int, str], list[int]] = {}
         for b in batches(it, ["text"], 4 << 20):
-            for text, what in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            values = b.column(0).to_pylist()
+            han = line_ideographs(values)
+            for text, what in zip(values, b.column(1).to_pylist()):
                 rewrite = what == REWRITE
                 for node, k in more(text, what) if more else ():
                     total.setdefault((k, node), [0, 0, 0, 0, 0])[0] += 1
+                split = [(x.strip(), next(han)) for x in text.split("\n")]
                 if what == BODY:
                     continue
-                lines = [x.strip() for x in text.split("\n")]
-                lines = [x for x in lines if x]
-                size = [weight(x) for x in lines]
+                lines = [x for x, _ in split if x]
+                ideographs = [n for x, n in split if x]
+                size = [len(x) + 2 * n for x, n in zip(lines, ideographs)]  # weight(x)
                 for i, x in enumerate(lines):
                     title = i + 1 < len(lines) and size[i + 1] >= 150 and (i == 0 or size[i - 1] < 100) and size[i] < 130
-                    for node, k in paths(x):
+                    for node, k in paths(x, ideographs[i]):
                         t = total.setdefault((k, node), [0, 0, 0, 0, 0])
                         if rewrite:
                             t[4] += 1
@@ -140,25 +152,31 @@ def path_statistics(texts: DataFrame, more=None) -> DataFrame:
     return part.groupBy("node", F.col("b").alias("bucket")).agg(*sums)
 
 
+def line_ideographs(texts: list[str]) -> Iterator[int]:
+    """How many ideographs each line of each text has, counted for all at once."""
+    cps = np.frombuffer("\n".join(["", *texts, ""]).encode("utf-32-le"), np.uint32)
+    return iter(np.diff(np.searchsorted(np.flatnonzero((cps >= 0x3400) & (cps < 0xA000)), np.flatnonzero(cps == 10))).tolist())
+
+
 def cells(line: str) -> int:
     """Cells of a table row: pieces between one kind of separator, 0 where that isn't a row."""
     s = line.strip()
-    if s.count("|") >= 2:
-        return s.count("|") - 1
+    if (n := s.count("|")) >= 2:
+        return n - 1
     if "\t" in line:
         return line.count("\t") + 1
     for sep in (";", ","):
-        if s.count(sep) >= 2 and not re.search(sep + " ", s.replace(f'"{sep} ', "")):
-            return s.count(sep) + 1
+        if (n := s.count(sep)) >= 2 and f"{sep} " not in s.replace(f'"{sep} ', ""):
+            return n + 1
     if "  " not in s:
         return 0
     n = len(re.findall(r"\S {2,}(?=\S)", s))
     return n + 1 if n >= 2 or (n == 1 and re.search(r"\d\s*$", s)) else 0
 
 
-def data_row(line: str) -> bool:
-    """A row of cells with figures or empty cells; a line of links has neither."""
-    return cells(line) >= 2 and (bool(re.search(r"\d", line)) or "||" in line or ",," in line or ";;" in line or line.rstrip(" ").endswith((",", ";", "\t"))) and "©" not in line and "·" not in line
+def data_row(line: str, n: int | None = None) -> bool:
+    """A row of cells with figures or empty cells; a line of links has neither. n: its cells, where they are counted already."""
+    return (cells(line) if n is None else n) >= 2 and (bool(re.search(r"\d", line)) or "||" in line or ",," in line or ";;" in line or line.rstrip(" ").endswith((",", ";", "\t"))) and "©" not in line and "·" not in line
 
 
 class LineModel:
@@ -168,9 +186,11 @@ class LineModel:
         self.decoder = decoder
         self.furniture, self.kept = furniture, kept
 
-    def verdict(self, line: str) -> str:
-        """'furniture' by its paths, 'kept' if rewrites hold the line's leaf or it is a row of data, or ''. A long paragraph is body, whatever its opening."""
-        if data_row(line) or weight(line.strip()) > 170:
+    def verdict(self, line: str, row: bool | None = None, size: int | None = None) -> str:
+        """'furniture' by its paths, 'kept' if rewrites hold the line's leaf or it is a row of data, or ''. A long paragraph is body, whatever its opening.
+
+        row, size: whether it is a row of data and the weight of the line without blanks around it, where they are known already."""
+        if (data_row(line) if row is None else row) or (weight(line.strip()) if size is None else size) > 170:
             return "kept" if len(line) < 170 else ""
         at = paths(line)
         if on(self.kept, at[0][1]):
@@ -179,6 +199,8 @@ class LineModel:
             return ""  # an item is furniture only by the lines over it
         if any(on(self.furniture, k) for _, k in at):
             return "furniture"
+        if not SEPARATOR.search(line):
+            return ""
         parts = [p for p in SPLIT.split(DIGITS.sub("0", line.strip())) if p and p.strip('"')]
         if len(parts) >= 2 and all(on(self.furniture, bucket("leaf", p.strip('" '))) for p in parts):
             return "furniture"

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import math
 import re
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -33,13 +34,13 @@ ROUNDS, LEAST_GAIN = 12, 2e-3
 HELD = 0.006
 #: Common words kept: those that most texts hold, of at most so many letters.
 COMMON, LONGEST = 400, 24
-WORDS = re.compile(r"[^\W\d_]+", re.UNICODE)
 #: Signs that rows and items of words and figures hardly have.
 ODD = re.compile(r"[^\w\s|;,.:\"'’“”()«»·/$%°±×、，。：（）《》„•*>–-]", re.UNICODE)
 #: Words of letters and figures at once, as codes have them.
 MIXED = re.compile(r"\b(?=\w*\d)(?=\w*[A-Za-z])\w{3,}\b")
 DIGIT = re.compile(r"\d")
-PIECES = re.compile(r"[,;、；·•]\s*")
+PIECE = re.compile(r"[,;、；·•]")
+PIECES = re.compile(PIECE.pattern + r"\s*")
 ENDS = re.compile(r"[.!?](?=\s|$)|[。！？]")
 SIGN = re.compile(r"[^\w\s.,;:!?'\"“”«»„’()，。；：！？、（）《》-]", re.UNICODE)
 # Examples that were inspected and named by hand.
@@ -86,6 +87,22 @@ EXAMPLES = {
 }
 
 
+#: The classes of characters that are counted, each of one character.
+CLASSES = {"digit": DIGIT, "sign": SIGN, "odd": ODD, "han": HAN, "piece": PIECE, "letter": re.compile(r"[^\W\d_]"), "space": re.compile(r"\s"), "blank": re.compile("[ \t\u3000]")}
+
+
+@lru_cache(1)
+def classes() -> np.ndarray:
+    """One bit per class of CLASSES for every code point, as its pattern has it."""
+    cps = np.concatenate([np.arange(0xD800), np.arange(0xE000, 0x110000)])
+    every = "".join(map(chr, cps))
+    out = np.zeros(0x110000, np.uint8)
+    for i, p in enumerate(CLASSES.values()):
+        for m in re.finditer(f"{p.pattern}+", every):
+            out[cps[m.start() : m.end()]] |= 1 << i
+    return out
+
+
 class Figures:
     """Computes the figures of values; travels with a task."""
 
@@ -98,53 +115,85 @@ class Figures:
 
     def many(self, values: list[str]) -> list[dict[str, float]]:
         """All figures of each value; an empty or blank one has zeros, and no sense."""
-        out, bare = [], []
-        for v, t in zip(values, self.decoder.texts(values)):
-            f, b = self._all_but_sense(v, t)
+        if not values:
+            return []
+        texts = [re.sub(LOST + r"+[?？]?", "", t) if LOST in t else t for t in self.decoder.texts(values)]  # lost characters tell nothing of the kind
+        n, of_lines = self._counts(texts)
+        out, bare, first = [], [], 0
+        for i, (v, t, words) in enumerate(zip(values, texts, self._words(texts))):
+            last = first + n["lines"][i]
+            f, b = self._all_but_sense(v, t, words, {k: x[i] for k, x in n.items()}, *(x[first:last] for x in of_lines))
             out.append(f)
             bare.append(b)
+            first = last
         for f, x in zip(out, self._senses(bare)):
             f["sense"] = x
         return out
 
-    def _all_but_sense(self, value: str, text: str) -> tuple[dict[str, float], str]:
-        text = re.sub(LOST + r"+[?？]?", "", text)  # lost characters tell nothing of the kind
-        kept = [x for x in text.split("\n") if x.strip() and self.lines.verdict(x) != "furniture"]
-        total = sum(weight(x.strip()) for x in kept) or 1
+    @staticmethod
+    def _counts(texts: list[str]) -> tuple[dict[str, list[int]], tuple[list[int], ...]]:
+        """(per text its lines, pieces between blanks, and characters of some classes; per line its odd signs, ideographs, and signs between pieces). All at once."""
+        cps = np.frombuffer("\n".join(["", *texts, ""]).encode("utf-32-le"), np.uint32)
+        has = dict(zip(CLASSES, (1 << np.arange(len(CLASSES))).astype(np.uint8)))
+        of = classes()[cps]
+        ends = np.flatnonzero(cps == 10)  # that before the first line, and of each line the one behind it
+        at = np.cumsum([0, *map(len, texts)]) + np.arange(len(texts) + 1)  # the line feeds before and behind each text
+        counted = lambda where, by: np.diff(np.searchsorted(where, by))
+        where = {k: np.flatnonzero(of & has[k]) for k in ("digit", "sign", "odd", "han", "piece", "blank")}
+        out = {k: counted(where[k], at).tolist() for k in ("digit", "sign", "han", "blank")}
+        out["lines"] = counted(ends, at).tolist()
+        space = (of & has["space"]) > 0
+        out["pieces"] = counted(np.flatnonzero(space[:-1] & ~space[1:]) + 1, at).tolist()
+        return out, tuple(counted(where[k], ends).tolist() for k in ("odd", "han", "piece"))
+
+    @staticmethod
+    def _words(texts: list[str]) -> list[str]:
+        """The words of each text in small letters, a blank for every other character."""
+        cps = np.frombuffer("\x00".join([t.replace("\x00", " ") for t in texts]).lower().encode("utf-32-le"), np.uint32)
+        letter = classes()[cps] & np.uint8(1 << list(CLASSES).index("letter"))
+        return np.where((letter > 0) | (cps == 0), cps, np.uint32(32)).astype("<u4").tobytes().decode("utf-32-le").split("\x00")
+
+    def _all_but_sense(self, value: str, text: str, words: str, n: dict[str, int], odd: list[int], han: list[int], pieces: list[int]) -> tuple[dict[str, float], str]:
+        """words, n, odd, han, pieces: what _words() and _counts() have of the text and of its lines."""
+        kept = []
+        for x, signs, ideographs, p in zip(text.split("\n"), odd, han, pieces):
+            if s := x.strip():
+                w = len(s) + 2 * ideographs  # weight(s)
+                c = cells(x)
+                row = data_row(x, c)
+                if self.lines.verdict(x, row, w) != "furniture":
+                    kept.append((s, w, c, row, MARKER.match(s), closed(s), signs, p + 1))
+        total = sum(w for _, w, *_ in kept) or 1
         rows, items, closes, n_closed = 0, 0, 0, 0
-        for i, x in enumerate(kept):
-            s = x.strip()
-            w = weight(s)
-            end = closed(s)
+        for i, (s, w, c, row, marker, end, signs, p) in enumerate(kept):
             if end:
                 n_closed += 1
-            if i == 0 and len(kept) > 3 and not end and w < 130 and not MARKER.match(s) and not data_row(x):
+            if i == 0 and len(kept) > 3 and not end and w < 130 and not marker and not row:
                 total -= w  # a title is neither item nor row
-            elif self._enumeration(s):
+            elif p >= 8 and self._enumeration(s):
                 items += w
-            elif len(ODD.findall(s)) > 0.12 * len(s):
+            elif signs > 0.12 * len(s):
                 pass  # mostly signs: no item and no row
-            elif (cells(x) >= 2 and (data_row(x) or w < 160)) and not (end and w >= 60):
+            elif (c >= 2 and (row or w < 160)) and not (end and w >= 60):
                 rows += w
-            elif w < 110 and (MARKER.match(s) and not (end and w >= 60) or not end):
+            elif w < 110 and (marker and not (end and w >= 60) or not end):
                 items += w
             elif end or w >= 110:
                 closes += w
-        bare = [MARKER.sub("", x.strip(), count=1) for x in kept]
+        bare = [s[marker.end() :] if marker else s for s, _, _, _, marker, *_ in kept]
         variety = self._variety(" ".join(bare))
-        n_words = len(text.split())
-        coded = 3 * len(DIGIT.findall(text)) >= n_words and 3 * len(MIXED.findall(text)) >= n_words
+        coded = 3 * n["digit"] >= n["pieces"] and 3 * len(MIXED.findall(text)) >= n["pieces"]
         total = max(total, 1)
-        words = WORDS.findall(text.lower())
-        n_letters = sum(map(len, words))
-        solid = max(len(text) - sum(map(text.count, " \n\t\u3000")), 1)
+        n_letters = len(words) - words.count(" ")
+        words = words.split()
+        solid = max(len(text) - n["blank"] - (n["lines"] - 1), 1)
         out = {
             "item_share": items / total, "row_share": rows / total, "closed_share": closes / total, "variety": variety, "restored": float(text != value),
-            "log_words": math.log1p(len(words) if not HAN.search(text) else n_letters / 2) / math.log(10), "mean_word_length": n_letters / len(words) if words else 0.0,
-            "symbol_ratio": len(SIGN.findall(text)) / solid, "common_word_share": sum(w in self.common for w in words) / len(words) if words else 0.0, "closed_line_share": n_closed / max(len(kept), 1),
+            "log_words": math.log1p(len(words) if not n["han"] else n_letters / 2) / math.log(10), "mean_word_length": n_letters / len(words) if words else 0.0,
+            "symbol_ratio": n["sign"] / solid, "common_word_share": sum(map(self.common.__contains__, words)) / len(words) if words else 0.0, "closed_line_share": n_closed / max(len(kept), 1),
         }
         if self.full:
-            out |= {"words": float(len(words)), "lines": float(len(kept)), "digit_ratio": len(DIGIT.findall(text)) / solid, "han_share": 0.0 if text.isascii() else len(HAN.findall(text)) / solid, "letter_share": n_letters / solid}
+            out |= {"words": float(len(words)), "lines": float(len(kept)), "digit_ratio": n["digit"] / solid, "han_share": n["han"] / solid, "letter_share": n_letters / solid}
         return out, "" if coded else "\n".join(bare).replace("\x00", " ")
 
     @staticmethod
@@ -156,6 +205,9 @@ class Figures:
     @staticmethod
     def _variety(text: str) -> float:
         """Distinct pieces over pieces; a piece is a word with its signs, or a pair of characters where blanks are few. 1 for under 12 pieces."""
+        p = text.split(None, 120)
+        if len(p) > 120 and len(set(p[:120])) >= 60:
+            return 1.0
         p = text.split()
         if len(p) < 12:
             s = "".join(p)

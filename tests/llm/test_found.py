@@ -191,6 +191,45 @@ def test_kinds(spark, decoder, lines):
     assert fig.one("")["words"] == 0 and fig.one(" \n ")["lines"] == 0 and fig.one("a b. " * 40000)["words"] == 80000
 
 
+def odd_texts():
+    """Characters of every kind, at random and between words: signs, digits and ideographs of all planes, blanks, zeros, letters whose small form is longer."""
+    import random
+
+    rng = random.Random(7)
+    some = [*"aZé. ,;、；|·>•\t\n\r\x00\x1c\x85\u2028\u3000_0٣９²½İΣßЖ中㐀龥\u9fff\ua000𠀀😀\u0301\U000e0001«»–#*()", "The mill ", "- ", "1. ", "（a）", "ΟΔΟΣ ", "Café ", "据石渡", "5 | 7 | ", "a; b, c; "]
+    return ["", "\n", " \n\n x", "\x00", *["".join(rng.choice(some) if rng.random() < 0.8 else chr(rng.choice([rng.randrange(1, 0xD800), rng.randrange(0xE000, 0x110000)])) for _ in range(rng.randrange(1, 90))) for _ in range(400)]]
+
+
+def test_counts_of_a_batch_are_those_of_the_patterns():
+    texts = odd_texts()
+    n, of_lines = quality.Figures._counts(texts)
+    assert n["digit"] == [len(quality.DIGIT.findall(t)) for t in texts] and n["sign"] == [len(quality.SIGN.findall(t)) for t in texts] and n["han"] == [len(quality.HAN.findall(t)) for t in texts]
+    assert n["pieces"] == [len(t.split()) for t in texts] and n["lines"] == [t.count("\n") + 1 for t in texts] and n["blank"] == [sum(map(t.count, " \t\u3000")) for t in texts]
+    lines = [x for t in texts for x in t.split("\n")]
+    for got, p in zip(of_lines, (quality.ODD, quality.HAN, quality.PIECE)):
+        assert got == [len(p.findall(x)) for x in lines]
+    assert [w.split() for w in quality.Figures._words(texts)] == [quality.re.findall(r"[^\W\d_]+", t.lower()) for t in texts]
+    assert list(pages.line_ideographs(texts)) == [len(pages.HAN.findall(x)) for x in lines]
+    assert all(pages.paths(x.strip(), len(pages.HAN.findall(x))) == pages.paths(x.strip()) for x in lines)
+    assert [quality.Figures._variety(t) for t in texts] == [min(1.0, len(set(p)) / min(len(p), 60)) if len(p := t.split() if len(t.split()) >= 12 else [s[i : i + 2] for s in ["".join(t.split())] for i in range(len(s) - 1)]) >= 12 else 1.0 for t in texts]
+
+
+def test_figures_scan_no_text_character_by_character(decoder, lines, monkeypatch):
+    """What p4_found has to count in every text is counted for a batch at once; the patterns run over no whole text."""
+    quality.Figures(decoder, lines, frozenset()).one("The first call may build the table of classes.")
+
+    class Never:
+        def findall(self, _):
+            raise AssertionError("a pattern ran over a text")
+
+        search = findall
+
+    for name in ("SIGN", "ODD", "DIGIT"):
+        monkeypatch.setattr(quality, name, Never())
+    f = quality.Figures(decoder, lines, frozenset(["the"]), True).one("The mill – 12 boats.\n- The bridge; 7 §")
+    assert (f["words"], f["lines"]) == (5, 2) and f["digit_ratio"] == 3 / 29 and f["symbol_ratio"] == 2 / 29 and f["common_word_share"] == 2 / 5
+
+
 def test_e_step_against_loops():
     rng = np.random.default_rng(1)
     x, at = rng.random((40, 10)), rng.random((3, 10))
