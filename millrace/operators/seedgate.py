@@ -198,7 +198,11 @@ def gate(df: DataFrame, text: str = "text", min_chars: int = MIN_CHARS, max_char
     """The loader's chain: length, clip, edits, length, numbers, density. Adds drop_reason (null: kept) and edit_reason; `text` becomes the edited text."""
     d = df.withColumn(text, strip_u(F.coalesce(F.col(text), F.lit("")))).withColumn("_short", F.length(text) < min_chars)
     d = d.withColumn(text, F.left(F.col(text), F.lit(max_chars)))
-    d = with_edits(d, text, min_chars).withColumn("_ranges", numeric_reasons(F.col(text)))
+    d = with_edits(d, text, min_chars)
+    # through an explode of one: a filter on the reason would be pushed into the edits, where Spark plans no Python function
+    d = d.withColumn("_edited", F.explode(F.array(F.struct(F.col(text).alias("text"), "edit_reason"))))
+    d = d.withColumn(text, F.col("_edited.text")).withColumn("edit_reason", F.col("_edited.edit_reason")).drop("_edited")
+    d = d.withColumn("_ranges", numeric_reasons(F.col(text)))
     reason = F.coalesce(
         F.when(F.col("_short"), F.lit("too_short")), F.when(F.length(text) < min_chars, F.lit("too_short_after_edit")),
         F.when(F.size("_ranges") > 0, F.lit("descending_numeric_range")), low_density_reason(F.col(text)))

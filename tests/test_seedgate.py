@@ -48,6 +48,14 @@ def test_numeric_column_is_the_function(spark):
     assert [r.n for r in got] == [len(S.descending_ranges(t or "")) for t in texts]
 
 
+def test_filter_on_the_reason(spark):
+    texts = [BODY + "It holds 9-5 kg.", BODY + "It holds 5-9 kg.", "首页 | 登录\n" + BODY + "\n5-9\n阅读原文\nmore", "short 5-9"]
+    d = spark.createDataFrame(list(enumerate(texts)), "seed_pos long, text string")
+    kept = S.gate(d).where("drop_reason is null").select("seed_pos", "text").collect()
+    assert {r.seed_pos: r.text for r in kept} == {1: texts[1], 2: BODY + "\n5-9"}
+    assert [r.seed_pos for r in S.gate(d).where("drop_reason = 'descending_numeric_range'").select("seed_pos").collect()] == [0]
+
+
 def test_low_density(spark):
     rows = {
         "empty": "  ", "ocr_garble_punct": "文字。。文，，字。、" * 5, "pure_link_navigation": "\n".join(["https://a.b/c"] * 8),
