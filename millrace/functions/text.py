@@ -38,14 +38,20 @@ def first_text(*cols: Column) -> Column:
     return strip_u(F.coalesce(*[F.nullif(c, F.lit("")) for c in cols], F.lit("")))
 
 
+def _without_last_blank(pieces: Column) -> Column:
+    """Pieces between line ends as lines: no empty one after the last line end."""
+    return bind(pieces, lambda p: F.slice(p, 1, F.size(p) - (F.element_at(p, -1) == "").cast("int")))
+
+
+# Both look for line ends only: a pattern for the text between them is several times slower.
 def raw_lines(c: Column) -> Column:
     """Lines with their line ends, as splitlines(True)."""
-    return F.regexp_extract_all(c, F.lit(rf"[^{LINE_END}]*(?:\r\n|[{LINE_END}])|[^{LINE_END}]+"), F.lit(0))
+    return _without_last_blank(F.split(c, rf"(?<=[{LINE_END}])(?!(?<=\r)\n)"))
 
 
 def split_lines(c: Column) -> Column:
     """splitlines(): without line ends, and without an empty piece after the last one."""
-    return F.transform(raw_lines(c), lambda x: F.regexp_replace(x, rf"(?:\r\n|[{LINE_END}])\z", ""))
+    return _without_last_blank(F.split(c, rf"\r\n|[{LINE_END}]"))
 
 
 def stripped_lines(c: Column) -> Column:
